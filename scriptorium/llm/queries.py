@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup
+from . import canonical, components, encoding, neardup, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,68 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.expand(members, links).select(F.col("id_a").alias("md_id_a"), F.col("id_b").alias("md_id_b"))
 
 
+def plain_path(path: str) -> Column:
+    """A path without surrounding blanks, a leading ``markdown/`` and a trailing ``.md``."""
+    return F.regexp_replace(F.regexp_replace(F.trim(F.col(path)), "^markdown/", ""), r"\.md$", "")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of each record that is linked to another one."""
+    pairs = _table(spark, sf_dir, "mevar_duplicates").select(plain_path("record_id").alias("a"), plain_path("duplicate_of").alias("b"))
+    return components.connected_groups(pairs, "a", "b").select(F.col("record").alias("record_id"), F.col("group").alias("group_id"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles and bodies written with other characters than they seem to be."""
+    return canonical.disguised(_table(spark, sf_dir, "markdown"), "md_id", ["title", "body"]).select(F.col("id").alias("md_id"), "field")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one best row of each group that has one."""
+    standing = survivors.standings(_table(spark, sf_dir, "markdown"), _table(spark, sf_dir, "sources"))
+    return survivors.tops(standing).select("group_key", F.col("id").alias("md_id"))
+
+
+def p6_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record built field by field for each group."""
+    fields = ["status", "location", "preacher", "title", "date"]
+    built = survivors.golden(_table(spark, sf_dir, "markdown"), _table(spark, sf_dir, "sources"), fields)
+    return built.select("group_key", F.col("id").alias("md_id"), *fields)
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each document."""
+    return encoding.token_ids(_table(spark, sf_dir, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
+
+
 QUERIES = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p4_found": p4_found,
+    "p6_found": p6_found,
+    "p6_golden": p6_golden,
+    "p8_ids": p8_ids,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p6_found": """
+        WITH r AS (
+          SELECT coalesce(m.duplicate_of, m.path) AS group_key, m.md_id,
+                 coalesce((length(title) > 0)::INT, 0) + coalesce((length(subtitle) > 0)::INT, 0) + coalesce((length(date) > 0)::INT, 0)
+                 + coalesce((length(location) > 0)::INT, 0) + coalesce((length(preacher) > 0)::INT, 0) + coalesce((length(summary) > 0)::INT, 0)
+                 + coalesce((len(tags) > 0)::INT, 0) + coalesce((len(persons) > 0)::INT, 0) + coalesce((len(places) > 0)::INT, 0)
+                 + coalesce((len(bible_refs) > 0)::INT, 0) AS f,
+                 coalesce(editorial_pass, '') AS e, coalesce(s.trust, 2147483647) AS t
+          FROM markdown m LEFT JOIN sources s USING (source)),
+        b AS (SELECT group_key, max(f) AS f, max(e) AS e, min(t) AS t FROM r GROUP BY 1 HAVING count(*) > 1)
+        SELECT r.group_key, min(md_id) AS md_id
+        FROM r JOIN b ON r.group_key = b.group_key AND r.f = b.f AND r.e = b.e AND r.t = b.t
+        GROUP BY 1 HAVING count(*) = 1""",
+    "p2_found": r"""
+        WITH RECURSIVE p AS (
+          SELECT regexp_replace(regexp_replace(trim(record_id), '^markdown/', ''), '\.md$', '') AS a,
+                 regexp_replace(regexp_replace(trim(duplicate_of), '^markdown/', ''), '\.md$', '') AS b FROM mevar_duplicates),
+        e AS (SELECT a, b FROM p WHERE a <> b UNION SELECT b, a FROM p WHERE a <> b),
+        c(v, w) AS (SELECT a, a FROM e UNION SELECT c.v, e.b FROM c JOIN e ON c.w = e.a)
+        SELECT v AS record_id, min(w) AS group_id FROM c GROUP BY 1""",
+}
