@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, components, encoding, neardup, survivors
+from . import canonical, components, encoding, junk, mixing, neardup, scans, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,18 +47,50 @@ def p6_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built.select("group_key", F.col("id").alias("md_id"), *fields)
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page furniture, broken words and misread words of scanned bodies."""
+    lines, _ = scans.scanned_lines(_table(spark, sf_dir, "markdown"))
+    return lines.select(F.col("id").alias("md_id"), "line_no", "kind")
+
+
+def p7_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scanned bodies as continuous paragraphs."""
+    return scans.repaired(_table(spark, sf_dir, "markdown")).select(F.col("id").alias("md_id"), "text")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
     return encoding.token_ids(_table(spark, sf_dir, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mix and how often each is used."""
+    used, _ = mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+    return used.withColumnRenamed("id", "doc_id")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares that the sources reach in the mix."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[1]
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which more than half of the words are junk."""
+    return junk.junk_shares(_table(spark, sf_dir, "documents"), "doc_id", "text").where("share > 0.5").select(F.col("id").alias("doc_id"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p4_found": p4_found,
     "p6_found": p6_found,
     "p6_golden": p6_golden,
+    "p7_found": p7_found,
+    "p7_text": p7_text,
     "p8_ids": p8_ids,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p10_found": p10_found,
 }
 
 ORACLES: dict[str, str] = {

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 
 _MARKS = re.compile("[̀-ͯ]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -46,34 +47,52 @@ def fold(text: str) -> str:
     return _MARKS.sub("", unicodedata.normalize("NFD", text)).lower()
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts in order, and the number of words of each text."""
-    parts: list[np.ndarray] = []
-    counts = np.zeros(len(texts), np.int64)
+class Words:
+    """The words of some texts: hashes, first and last bytes in ``data``, and the number of words of each text."""
+
+    def __init__(self, texts: list[str]):
+        raw = [fold(t).encode("utf-8", "surrogatepass") for t in texts]
+        self.data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        if len(self.data) > _CHUNK * 2:
+            up, down = _powers(len(self.data) + 1)
+        else:
+            if "p" not in _cache:
+                _cache["p"] = _powers(_CHUNK * 2 + 1)
+            up, down = _cache["p"]
+        self.edges = np.cumsum([len(r) + 1 for r in raw])
+        inside = _INSIDE[self.data]
+        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        if inside[0]:
+            edge = np.r_[0, edge]
+        self.start, self.stop = edge[::2], edge[1::2]
+        total = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum((self.data + np.uint64(1)) * up[: len(self.data)], out=total[1:])
+        self.hash = mix((total[self.stop] - total[self.start]) * down[self.start])
+        self.counts = np.diff(np.searchsorted(self.start, self.edges), prepend=0)
+
+
+_INSIDE = np.zeros(256, bool)
+_INSIDE[97:123] = _INSIDE[48:58] = True
+
+
+def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that are small enough to be looked at together; a very long text is one by itself."""
     at = 0
     while at < len(texts):
         size, end = 0, at
         while end < len(texts) and (end == at or size + len(texts[end]) < _CHUNK):
             size += len(texts[end]) + 1
             end += 1
-        raw = [fold(t).encode("utf-8", "surrogatepass") for t in texts[at:end]]
-        data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-        if len(data) > _CHUNK * 2:
-            up, down = _powers(len(data) + 1)
-        else:
-            if "p" not in _cache:
-                _cache["p"] = _powers(_CHUNK * 2 + 1)
-            up, down = _cache["p"]
-        inside = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57))
-        edge = np.diff(inside.view(np.int8), prepend=np.int8(0))
-        start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-        parts.append(mix((total[stop] - total[start]) * down[start]))
-        ends = np.cumsum([len(r) + 1 for r in raw])
-        counts[at:end] = np.diff(np.searchsorted(start, ends), prepend=0)
+        yield at, end
         at = end
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), counts
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts in order, and the number of words of each text."""
+    parts = [Words(texts[a:b]) for a, b in chunks(texts)]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate([p.hash for p in parts]), np.concatenate([p.counts for p in parts])
 
 
 def shingle_sets(texts: list[str], width: int, least_words: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
