@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, components, encoding, junk, mixing, neardup, scans, survivors
+from . import canonical, components, encoding, junk, mixing, names, neardup, scans, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,16 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.connected_groups(pairs, "a", "b").select(F.col("record").alias("record_id"), F.col("group").alias("group_id"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of spellings of one person or place."""
+    m = _table(spark, sf_dir, "markdown")
+    persons = m.select(F.explode("persons").alias("x")).unionByName(m.select(F.col("preacher").alias("x")))
+    places = m.select(F.explode("places").alias("x"))
+    found = names.linked(names.person_entities(names.distinct_names(persons, "x"))).withColumn("kind", F.lit("person"))
+    found = found.unionByName(names.linked(names.place_entities(names.distinct_names(places, "x"))).withColumn("kind", F.lit("place")))
+    return found.select("kind", "name_a", "name_b")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles and bodies written with other characters than they seem to be."""
     return canonical.disguised(_table(spark, sf_dir, "markdown"), "md_id", ["title", "body"]).select(F.col("id").alias("md_id"), "field")
@@ -82,6 +92,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p6_found": p6_found,
     "p6_golden": p6_golden,
