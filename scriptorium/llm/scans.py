@@ -31,10 +31,10 @@ TEXT, HEADER, PAGE = range(3)
 _PAGE_NO = re.compile(r"[\s\W_]*(?:(?:page|pag|p|folio|fol|f)[\s.:]*)?(?:\d{1,4}|[ivxlc]{1,7})(?:\s*(?:/|sur|de|of)\s*\d{1,4})?[\s\W_]*", re.I)
 _SIDE_NO = re.compile(r"^\s*\d{1,4}\s{2,}\S|\S\s{2,}\d{1,4}\s*$")
 _BROKEN = re.compile(r"[^\W\d_][-‐­¬]$")
-_WORD = re.compile(r"[^\W_]+(?:[!|][^\W_]+)*")
+_WORD = re.compile(r"[^\W_]+(?:(?:[!|]|(?<=e)')[^\W_]+)*")
 _SPACED = re.compile(r"^(?:\S ){3,}")
 # fixed values: characters as scanners read them, and as they were
-CONFUSIONS = [("c", "e"), ("e", "c"), ("1", "i"), ("1", "l"), ("l", "1"), ("f", "t"), ("t", "f"), ("5", "s"), ("0", "o"), ("!", "i"), ("!", "l"), ("|", "l"), ("|", "i"), ("ri", "n"), ("n", "ri"), ("rn", "m"), ("m", "rn"), ("6", "é"), ("6", "b"), ("ii", "u"), ("u", "ii"), ("y", "v"), ("v", "y"), ("cl", "d"), ("d", "cl"), ("g", "q"), ("q", "g"), ("li", "h"), ("h", "li"), ("8", "b"), ("9", "g"), ("vv", "w"), ("l", "i"), ("i", "l")]
+CONFUSIONS = [("c", "e"), ("e", "c"), ("1", "i"), ("1", "l"), ("l", "1"), ("f", "t"), ("t", "f"), ("5", "s"), ("0", "o"), ("!", "i"), ("!", "l"), ("|", "l"), ("|", "i"), ("ri", "n"), ("n", "ri"), ("rn", "m"), ("m", "rn"), ("6", "é"), ("6", "b"), ("ii", "u"), ("u", "ii"), ("y", "v"), ("v", "y"), ("cl", "d"), ("d", "cl"), ("g", "q"), ("q", "g"), ("li", "h"), ("h", "li"), ("8", "b"), ("8", "ê"), ("e'", "é"), ("9", "g"), ("vv", "w"), ("l", "i"), ("i", "l")]
 _AGAIN = str.maketrans("1l!|05c6y", "iiiioseev")
 #: A repair must be this many times as frequent as what was read, and occur so often at least.
 TIMES, LEAST = 8, 3
@@ -46,20 +46,23 @@ def _squash(line: str) -> str:
     return re.sub(r"[^a-z]", "", fold(line.lower().replace("œ", "oe").translate(_AGAIN)))
 
 
-def _like(line: str, names: list[str]) -> bool:
+def _like(line: str, names: list[difflib.SequenceMatcher]) -> bool:
+    """Whether the line is, begins or nearly is one of the names, each the second sequence of a matcher."""
     if len(line) < 5:
         return False
-    for n in names:
-        if line == n or len(line) >= 8 and n.startswith(line):
-            return True
-        if n and 0.6 <= len(line) / len(n) <= 1.6 and difflib.SequenceMatcher(None, line, n, False).ratio() >= 0.84:
+    for m in names:
+        if line == m.b or len(line) >= 8 and m.b.startswith(line):
             return True
+        if 0.72 <= len(line) / len(m.b) <= 1.39:
+            m.set_seq1(line)
+            if m.quick_ratio() >= 0.84 and m.ratio() >= 0.84:
+                return True
     return False
 
 
 def symbols(lines: list[str], names: list[str]) -> np.ndarray:
     """Layout symbol of each line, -1 for blank ones."""
-    names = [x for x in (_squash(canonical(n)) for n in names if n) if len(x) >= 5]
+    names = [difflib.SequenceMatcher(None, "", x, False) for x in (_squash(canonical(n)) for n in names if n) if len(x) >= 5]
     full = sorted(len(x) for x in lines if x.strip())
     usual = full[int(len(full) * 0.7)] if full else 0
     squashed = [_squash(x) if x.strip() and len(x) < 1.3 * usual else "" for x in lines]
