@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, components, encoding, junk, mixing, names, neardup, scans, survivors
+from . import canonical, components, encoding, entities, junk, mixing, names, neardup, scans, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.disguised(_table(spark, sf_dir, "markdown"), "md_id", ["title", "body"]).select(F.col("id").alias("md_id"), "field")
 
 
+def p5_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries and the sermons they summarise, with the confidence of each match."""
+    m = _table(spark, sf_dir, "markdown")
+    fields = ["title", "subtitle", "date", "location", "preacher"]
+    sides = [entities.latest(m.where(F.col("source") == s), "path", fields, "ingested_at").withColumnRenamed("date", "day") for s in ("le-scribe", "sermons-en")]
+    known = m.where("source = 'le-scribe' and original like 'sermons-en/%'").select(F.col("path").alias("a"), F.col("original").alias("b")).distinct()
+    return entities.match(sides[0], sides[1], known)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries and the sermons they summarise."""
+    return p5_matches(spark, sf_dir).select("path_a", "path_b")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one best row of each group that has one."""
     standing = survivors.standings(_table(spark, sf_dir, "markdown"), _table(spark, sf_dir, "sources"))
@@ -94,6 +108,8 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_matches": p5_matches,
     "p6_found": p6_found,
     "p6_golden": p6_golden,
     "p7_found": p7_found,
