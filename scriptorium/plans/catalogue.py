@@ -1,6 +1,8 @@
-"""Registry of the library's own queries and their SQL counterparts."""
+"""All queries of the library's own operators; importing the modules registers them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import aggregates, projections
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "aggregates", "projections"]
