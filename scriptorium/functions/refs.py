@@ -37,7 +37,7 @@ def book_forms(lang: str) -> dict[str, str]:
     for b in books:
         m = re.match(r"([123]) (.+)", b)
         name = _key(m[2] if m else b)
-        for k in range(3, len(name) + 1):
+        for k in range(2, len(name) + 1):
             stems.setdefault(name[:k], set()).add("# " + (m[2] if m else "") if m else b)
     forms: dict[str, str] = {}
     for b in books:
@@ -45,7 +45,7 @@ def book_forms(lang: str) -> dict[str, str]:
         name = _key(m[2] if m else b)
         own = "# " + m[2] if m else b
         # among books of one numbering, a beginning must belong to one stem; a whole name always counts
-        cuts = {name[:k] for k in range(3, len(name) + 1) if {x for x in stems[name[:k]] if x.startswith("#") == bool(m)} == {own}} | {name}
+        cuts = {name[:k] for k in range(2 if m else 3, len(name) + 1) if {x for x in stems[name[:k]] if x.startswith("#") == bool(m)} == {own}} | {name}
         for c in cuts:
             if m:
                 for o in _ORDINALS[m[1]]:

@@ -45,11 +45,15 @@ def match(post: DataFrame, terms: list[str]) -> DataFrame:
     return post.where(F.col("term").isin(terms)).groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") == len(terms)).select("id")
 
 
+def _is(term: str):
+    return lambda w: w == F.lit(term)
+
+
 def bm25(docs: DataFrame, id_col: str, text_col: str, terms: list[str], every: bool = False) -> DataFrame:
     """``(id, score)`` of documents with any (or every) term; only the query's postings are built."""
     terms = list(dict.fromkeys(terms))
     base = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("t"))
-    base = base.select("id", F.size("t").alias("len"), F.array(*[F.struct(F.lit(q).alias("term"), F.size(F.filter("t", lambda w, q=q: w == q)).alias("tf")) for q in terms]).alias("hits")).where("len > 0")
+    base = base.select("id", F.size("t").alias("len"), F.array(*[F.struct(F.lit(q).alias("term"), F.size(F.filter("t", _is(q))).alias("tf")) for q in terms]).alias("hits")).where("len > 0")
     stats = base.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"), *[F.count_if(F.col("hits")[k]["tf"] > 0).alias(f"df{k}") for k in range(len(terms))])
     rows = base.where(F.exists("hits", lambda h: h["tf"] > 0)).crossJoin(F.broadcast(stats))  # one row on the right
     score = F.lit(0.0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, projections
+from . import aggregates, joins, projections, recipes
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "aggregates", "projections"]
+__all__ = ["ORACLES", "QUERIES", "aggregates", "joins", "projections", "recipes"]
