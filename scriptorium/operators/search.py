@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions import norm, similarity
 
@@ -84,26 +87,64 @@ def cosine_top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def knn_lsh(vectors: DataFrame, queries: DataFrame, k: int, tables: int = 12, bits: int = 6, seed: int = 7) -> DataFrame:
-    """Approximate nearest neighbours: random hyperplanes, several tables, exact scores for bucket mates.
+#: Rows that the lists of an index are fitted on, at most.
+FIT_ROWS = 20_000
 
-    Every row is indexed; ``tables`` and ``bits`` trade recall for work.
-    """
-    import random
-
-    rng = random.Random(seed)
-    dim = len(vectors.select("vector").first().vector)
-    planes = [[[rng.gauss(0, 1) for _ in range(dim)] for _ in range(bits)] for _ in range(tables)]
 
-    def bucket(c: Column, t: int) -> Column:
-        dot = lambda p: F.aggregate(F.zip_with(c, F.array(*[F.lit(x) for x in p]), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        return sum(((F.when(dot(p) >= 0, 1 << j).otherwise(0)) for j, p in enumerate(planes[t])), F.lit(t << bits))
+class Lists:
+    """Inverted lists of vectors: centroids from a bounded sample, and how many lists a query must visit.
 
-    def indexed(df: DataFrame, name: str, vec: str) -> DataFrame:
-        return df.select(F.col("id").alias(name), F.col("vector").alias(vec), F.explode(F.array(*[bucket(F.col("vector"), t) for t in range(tables)])).alias("bucket"))
+    ``visits`` is the smallest number that reaches the wanted recall for queries of the sample against the sample.
+    """
 
-    pairs = indexed(vectors, "id", "v").join(indexed(queries, "query", "q"), "bucket").where("id <> query").select("query", "id", "v", "q").dropDuplicates(["query", "id"])
-    scored = pairs.select("query", "id", similarity.cosine(F.col("v"), F.col("q")).alias("score"))
+    def __init__(self, sample: np.ndarray, k: int, recall: float = 0.97, seed: int = 7):
+        rng = np.random.default_rng(seed)
+        unit = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-12)
+        n = len(unit)
+        lists = int(np.clip(round(n**0.5), 1, 256))
+        c = unit[rng.choice(n, lists, replace=False)]
+        for _ in range(12):
+            own = (unit @ c.T).argmax(1)
+            for j in range(lists):
+                if (own == j).any():
+                    c[j] = unit[own == j].mean(0)
+            c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+        self.centroids = c
+        own = (unit @ c.T).argmax(1)
+        ask = unit[rng.choice(n, min(n, 200), replace=False)]
+        near = np.argsort(-(ask @ unit.T), axis=1)[:, : k + 1]
+        order = np.argsort(-(ask @ c.T), axis=1)
+        place = np.argsort(order, axis=1)  # when each list is visited
+        seen = np.sort(np.take_along_axis(place, own[near], axis=1).ravel())
+        self.visits = int(seen[min(len(seen) - 1, int(np.ceil(recall * len(seen))) - 1)]) + 1 if n else 1
+
+    def nearest(self, v: np.ndarray, n: int) -> np.ndarray:
+        return np.argsort(-(v @ self.centroids.T), axis=1)[:, :n]
+
+
+def knn(vectors: DataFrame, queries: DataFrame, k: int, recall: float = 0.97) -> DataFrame:
+    """``(query, id, score, rank)``: approximate nearest neighbours by inverted lists, exact scores inside the lists.
+
+    The lists are fitted on at most ``FIT_ROWS`` rows; every row with a vector is indexed.
+    """
+    n = vectors.count()
+    part = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, FIT_ROWS / max(n, 1))) + 1).limit(FIT_ROWS)
+    sample = np.array([r.vector for r in part.where("vector is not null").select("vector").toLocalIterator()], float)
+    index = vectors.sparkSession.sparkContext.broadcast(Lists(sample, k, recall) if len(sample) else None)
+
+    def lists_of(visits: int | None):
+        @F.arrow_udf(ArrayType(IntegerType()))
+        def run(b: pa.Array) -> pa.Array:
+            v = np.array([x or [0.0] * index.value.centroids.shape[1] for x in b.to_pylist()], float)
+            return pa.array(index.value.nearest(v, visits or index.value.visits).tolist(), pa.list_(pa.int32()))
+
+        return run
+
+    if not len(sample):
+        return queries.select(F.col("id").alias("query"), "id", F.lit(0.0).alias("score"), F.lit(1).alias("rank")).limit(0)
+    kept = vectors.where("vector is not null").select("id", F.col("vector").alias("v"), F.explode(lists_of(1)(F.col("vector"))).alias("list"))
+    asked = queries.where("vector is not null").select(F.col("id").alias("query"), F.col("vector").alias("q"), F.explode(lists_of(None)(F.col("vector"))).alias("list"))
+    scored = kept.join(asked, "list").where("id <> query").select("query", "id", similarity.cosine(F.col("v"), F.col("q")).alias("score")).where("score is not null")
     w = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -486,7 +486,7 @@ def vec_cosine_scan(t):
 
 @query()
 def vec_knn_hnsw(t):
-    return search.knn_lsh(_vectors(t), _queries(t), 10).select("query", "id", F.round("score", 5).alias("score"))
+    return search.knn(_vectors(t), _queries(t), 10).select("query", "id", F.round("score", 5).alias("score"))
 
 
 @query()

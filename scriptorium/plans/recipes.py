@@ -63,7 +63,7 @@ def q10_nearest(t):
 
 @query()
 def q11_nearest_approximate(t):
-    return search.knn_lsh(_vectors(t), _queries(t), 10).groupBy("query").agg(F.count("*").alias("n"), F.round(F.max("score"), 5).alias("best"))
+    return search.knn(_vectors(t), _queries(t), 10).groupBy("query").agg(F.count("*").alias("n"), F.round(F.max("score"), 5).alias("best"))
 
 
 @query(f"{_BM} SELECT id, round({_SCORE}, 6) AS score FROM d, s WHERE tf0 + tf1 + tf2 > 0 ORDER BY score DESC, id LIMIT 10")

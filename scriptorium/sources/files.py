@@ -21,7 +21,7 @@ _FENCE = r"^---\n([\s\S]*?)\n---\n+"
 
 def walk_md(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
     """``(path, size, text)`` of all matching files under a folder, or of one file."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folder)
+    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folder, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("value").alias("text"))
 
 
