@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import drop_table, write_table
+from ..shared import drop_table, spread, write_table
 from . import shingles
 
 SKETCH_BITS = 21
@@ -46,7 +46,7 @@ def _scan(width: int, least_words: int, batches: Iterator[pa.RecordBatch]) -> It
         t32 = (toks >> np.uint64(32)).astype(np.uint32)
         keep = np.ones(len(t32), bool)
         keep[1:] = (t32[1:] != t32[:-1]) | (owner[1:] != owner[:-1])
-        total = np.concatenate(([0], np.cumsum(shingles.mix(toks), dtype=np.uint64)))
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(shingles.mix(toks), dtype=np.uint64)))
         ends = np.cumsum(n)
         cls = (total[ends] - total[ends - n]).view(np.int64)
         t32 = t32[keep]
@@ -308,7 +308,7 @@ def near_duplicates(texts: DataFrame, id_col: str, text_col: str, threshold: flo
     """
     spark = texts.sparkSession
     rows = texts.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and length(text) > 0")
-    sets = write_table(rows.mapInArrow(lambda it: _scan(width, least_words, it), _SETS), "sets", "uncompressed")
+    sets = write_table(spread(rows).mapInArrow(lambda it: _scan(width, least_words, it), _SETS), "sets", "uncompressed")
     found = sets.where("slice is null")
     texts_ = found.where("toks is not null")
     ranks = spark.sparkContext.broadcast(_ranks(sets))
