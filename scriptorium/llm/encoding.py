@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from ..shared import spread
+
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 #: Word pattern of the byte-level vocabularies, a fixed value of theirs.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -138,7 +140,7 @@ def token_ids(df: DataFrame, id_col: str, text_col: str, name: str = "byte_bpe_5
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(flat))], names=["id", "ids"])
 
     key = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {key}, ids array<int>")
+    return spread(df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))).mapInArrow(run, f"id {key}, ids array<int>")
 
 
 def token_counts(df: DataFrame, text_col: str, out_col: str = "n_tokens", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:

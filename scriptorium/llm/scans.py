@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import write_table
+from ..shared import spread, write_table
 from .canonical import canonical
 from .shingles import fold
 
@@ -38,6 +38,8 @@ CONFUSIONS = [("c", "e"), ("e", "c"), ("1", "i"), ("1", "l"), ("l", "1"), ("f",
 _AGAIN = str.maketrans("1l!|05c6y", "iiiioseev")
 #: A repair must be this many times as frequent as what was read, and occur so often at least.
 TIMES, LEAST = 8, 3
+#: A longer run of letters is no word that could be misread.
+LONGEST = 60
 SYMBOLS = 3 * 2 * 2 * 2 * 2 * 2 * 2
 
 
@@ -254,7 +256,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fixes(occurring: DataFrame, lexicon: DataFrame) -> DataFrame:
     """``(word, fix)`` of the misread words among ``occurring(word)``."""
     top = lexicon.agg(F.max("n").alias("top"))
-    rare = occurring.join(lexicon, "word").crossJoin(F.broadcast(top)).where(F.col("n") * TIMES <= F.col("top")).select("word", "n")  # one row on the right
+    rare = occurring.join(lexicon, "word").crossJoin(F.broadcast(top)).where((F.col("n") * TIMES <= F.col("top")) & (F.length("word") <= LONGEST)).select("word", "n")  # one row on the right
     tried = rare.mapInArrow(_candidates, "word string, n long, fix string")
     good = tried.join(lexicon.select(F.col("word").alias("fix"), F.col("n").alias("m")), "fix").where((F.col("m") >= LEAST) & (F.col("m") >= TIMES * F.col("n")))
     return good.groupBy("word").agg(F.max_by("fix", F.struct("m", "fix")).alias("fix"))
@@ -264,7 +266,7 @@ def wrapped_texts(df: DataFrame, id_col: str, body_col: str, name_cols: list[str
     """``(id, body, names)`` of texts with at least one line feed inside a paragraph."""
     body = F.col(body_col).cast("string")
     rows = df.select(F.col(id_col).cast("long").alias("id"), body.alias("body"), F.array(*[F.col(c).cast("string") for c in name_cols]).alias("names"))
-    return rows.where(F.col("body").rlike(r"[^\n]\n[^\n]"))
+    return spread(rows.where(F.col("body").rlike(r"[^\n]\n[^\n]")))
 
 
 def scanned_lines(df: DataFrame, id_col: str = "md_id", body_col: str = "body", name_cols: tuple[str, ...] = ("title", "preacher")) -> tuple[DataFrame, DataFrame]:
@@ -277,7 +279,7 @@ def scanned_lines(df: DataFrame, id_col: str = "md_id", body_col: str = "body",
     emit = line_model(wrapped)
     marked = write_table(wrapped.mapInArrow(lambda it: _label(emit, it), "id long, line_no int, kind string, word string, next int"), "lines")
     texts = df.select(F.col(body_col).cast("string").alias("t")).where("t is not null")
-    lexicon = write_table(texts.mapInArrow(_lexicon, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lexicon")
+    lexicon = write_table(spread(texts).mapInArrow(_lexicon, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lexicon")
     words = marked.where("kind = 'word'")
     fixes = write_table(_fixes(words.select("word").distinct(), lexicon), "fixes")
     odd = words.join(fixes, "word")
