@@ -59,7 +59,8 @@ def ref_id(c: Column, most: int = 60) -> Column:
 
 def words(c: Column) -> Column:
     """Array of the runs of ``a-z0-9``."""
-    return F.filter(F.split(F.regexp_replace(unaccent(F.lower(c)), "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    bare = F.trim(F.regexp_replace(unaccent(F.lower(c)), "[^a-z0-9]+", " "))
+    return F.when(F.length(bare) > 0, F.split(bare, " ")).when(bare.isNotNull(), F.array().cast("array<string>"))
 
 
 def words_accented(c: Column, least: int = 4) -> Column:

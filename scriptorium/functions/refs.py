@@ -59,18 +59,37 @@ def book_forms(lang: str) -> dict[str, str]:
 
 
 _FOLDED = {"a": "aàâä", "c": "cç", "e": "eéèêë", "i": "iîï", "o": "oôö", "u": "uùûü"}
-
-
-@functools.cache
-def _pattern(lang: str) -> re.Pattern:
-    """A book, a chapter, and what may be verses; what they mean is decided by ``_numbers``."""
-
-    def loose(form: str) -> str:
-        return "".join(r"\.?\s*" if c == " " else f"[{_FOLDED[c]}{_FOLDED[c].upper()}]" if c in _FOLDED else re.escape(c) for c in form)
-
-    alt = "|".join(loose(f) for f in sorted(book_forms(lang), key=len, reverse=True))
-    stop = r"\.?" if lang == "fr" else ""
-    return re.compile(rf"(?<![\w])({alt}){stop}\s*(\d{{1,3}})(?!\d)", re.I)
+#: What may be a book and a chapter: a numeral, one word (or a book of several), a number.
+_MAYBE = re.compile(
+    r"(?<!\w)(?P<num>(?:[123]\s*\.?\s*|(?:I{1,3}|1[eè]re?|[23](?:e|[eè]me)|premi[eè]re?|premier|deuxi[eè]me|seconde?|troisi[eè]me|first|second|third|1st|2nd|3rd)\.?\s+|(?:st|saint)\.?\s+))?"
+    r"(?P<name>[^\W\d_]++(?:\s+(?:des\s+cantiques|of\s+(?:solomon|songs)))?)(?P<stop>\.?)\s*(?P<chapter>\d{1,3})(?!\d)",
+    re.I,
+)
+
+
+def _book_at(m: re.Match, lang: str) -> tuple[str, int] | None:
+    """The book that a candidate names and where it begins, with its numeral if that makes one."""
+    if m["stop"] and lang == "en":
+        return None
+    forms = book_forms(lang)
+    if m["num"]:
+        book = forms.get(_key(m["num"] + " " + m["name"])) or forms.get(_key(m["num"].strip() + m["name"]))
+        if book:
+            return book, m.start("num")
+    book = forms.get(_key(m["name"]))
+    return (book, m.start("name")) if book else None
+
+
+def _books(text: str, lang: str) -> Iterator[tuple[int, str, str, int, int]]:
+    """``(start, written, book, chapter, end)`` of everything that reads as a book and a chapter."""
+    at = 0
+    while m := _MAYBE.search(text, at):
+        hit = _book_at(m, lang)
+        if hit:
+            yield hit[1], text[hit[1] : m.end("name")], hit[0], m.start("chapter"), m.end()
+            at = m.end()
+        else:
+            at = m.end("name")  # the number may begin the next book
 
 
 @functools.cache
@@ -103,8 +122,8 @@ class _Reader:
 
     def starts_book(self, at: int) -> bool:
         """Whether a numbered book begins here: the 2 of "5:2 et 2 Timothée"."""
-        m = _pattern(self.lang).match(self.text, at)
-        return bool(m) or bool(re.compile(r"[123]\s*\.?\s*[^\W\d_]{3}").match(self.text, at) and any(_key(self.text[at : at + n]) in book_forms(self.lang) for n in range(4, 22)))
+        m = _MAYBE.match(self.text, at)
+        return bool(m and m["num"] and (h := _book_at(m, self.lang)) and h[1] == at) or bool(re.compile(r"[123]\s*\.?\s*[^\W\d_]{3}").match(self.text, at) and any(_key(self.text[at : at + n]) in book_forms(self.lang) for n in range(4, 22)))
 
     def span(self) -> tuple[int, int | None] | None:
         """A verse or a range that is no new chapter and verse."""
@@ -133,19 +152,18 @@ def citations(text: str, lang: str = "fr") -> Iterator[tuple[int, str, str]]:
 
 
 def _written(text: str, lang: str) -> Iterator[tuple[int, str, str]]:
-    forms, top = book_forms(lang), limits(lang)
-    for m in _pattern(lang).finditer(text):
-        book = forms.get(_key(m[1]))
-        if not book or (lang == "en" and m[1][:1].islower()) or m[1] == "nombre":
+    top = limits(lang)
+    for start, written, book, digits, end in _books(text, lang):
+        if (lang == "en" and written[:1].islower()) or written == "nombre":
             continue
-        r = _Reader(text, m.end(), lang)
-        chapter, verses, listed = int(m[2]), [], False
+        r = _Reader(text, end, lang)
+        chapter, verses, listed = int(text[digits:end]), [], False
         sep = r.take(r"(\s*[:,]\s*|\.(?=[1-9]))(?=\d)") if lang == "fr" else r.take(r"(\s*[:,]\s*)(?=\d)")
         if sep:
             begin = r.at
             first = None if r.starts_book(begin) else r.span()
             if first is None:
-                r.at = m.end()
+                r.at = end
             else:
                 verses.append(first)
                 while True:
@@ -165,9 +183,8 @@ def _written(text: str, lang: str) -> Iterator[tuple[int, str, str]]:
         if listed and sep and re.fullmatch(r",\s+", sep[1]) and all(b is None for _, b in verses) and verses[0][0] == chapter + 1:
             every = [chapter, *(a for a, _ in verses)]
             if every == sorted(set(every)) and every[-1] <= top[book]:
-                at = m.start(2)
-                yield m.start(), text[m.start() : m.end()], f"{book} {chapter}"
-                at = m.end()
+                yield start, text[start:end], f"{book} {chapter}"
+                at = end
                 for c in every[1:]:
                     at = text.index(str(c), at)
                     yield at, str(c), f"{book} {c}"
@@ -176,7 +193,7 @@ def _written(text: str, lang: str) -> Iterator[tuple[int, str, str]]:
         if not possible(book, chapter, verses, lang):
             continue
         ref = render(book, chapter, verses)
-        yield m.start(), text[m.start() : r.at], ref if verses else _quoted(text, r.at, book, chapter, lang)
+        yield start, text[start : r.at], ref if verses else _quoted(text, r.at, book, chapter, lang)
         while verses and lang == "fr":  # the same book goes on to another chapter: "; 4:30", " et 8.14"
             n = re.compile(r"[^\S\n]*(?:[;,]|[^\S\n]+et)[^\S\n]*(\d{1,3})(?:\s*:\s*|\.(?=[1-9]))(\d{1,3})(?:\s*[-–—]\s*(\d{1,3}))?(?!\d|[.:]\d)", re.I).match(text, r.at)
             if not n or not possible(book, int(n[1]), [(int(n[2]), None)], lang):
@@ -228,6 +245,8 @@ def _verses(start, end, more) -> list[tuple[int, int | None]]:
 
 def _spoken_fr(text: str) -> Iterator[tuple[int, str, str]]:
     """"Luc chapitre 18 verset 9", "le verset 15 du chapitre 3 de la Genèse"."""
+    if "chapitre" not in text.lower():
+        return
     book = _full("fr")
     for m in re.finditer(rf"(?<!\w)({book}),?\s+(?:au\s+|le\s+)?chapitre\s+(\d{{1,3}})(?!\d)(?:{_V_FR}{_T_FR})?", text, re.I):
         name, v = _named(m[1], "fr"), m[3] or m[4] or ("1" if m[5] or m[6] else None)
@@ -249,6 +268,8 @@ def _spoken_fr(text: str) -> Iterator[tuple[int, str, str]]:
 
 def _spoken_en(text: str) -> Iterator[tuple[int, str, str]]:
     """"Saint John the 4th chapter, the 23rd verse", "the 20th chapter of Numbers"."""
+    if "chapter" not in text.lower():
+        return
     book, n = _full("en"), r"(\d{1,3})(?:st|nd|rd|th)"
     verses = r"((?:,?\s+(?:and\s+)?(?:[Tt]he\s+)?\d{1,3}(?:st|nd|rd|th)(?:\s+[Vv]erses?)?)+\s*)?"
     for m in re.finditer(rf"(?<!\w)({book})(?:['’]s\s+Gospel)?(?:,|\s+and)?\s+(?:[Tt]he\s+)?{n}\s+[Cc]hapter{verses}", text):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions import norm, similarity
+from ..shared import spread, write_table
 
 #: Constants of BM25; one place for them.
 K1, B = 1.2, 0.75
@@ -32,7 +33,7 @@ def stem(token: Column, lang: str = "fr") -> Column:
 def postings(docs: DataFrame, id_col: str, text_col: str, lang: str | None = None) -> DataFrame:
     """``(term, id, tf)`` and, through ``lengths``, the length of each document."""
     t = tokens(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), F.explode(t).alias("term"))
+    rows = spread(docs.select(F.col(id_col).alias("id"), F.col(text_col))).select("id", F.explode(t).alias("term"))
     if lang:
         rows = rows.withColumn("term", stem(F.col("term"), lang))
     return rows.groupBy("term", "id").agg(F.count("*").alias("tf"))
@@ -48,15 +49,13 @@ def match(post: DataFrame, terms: list[str]) -> DataFrame:
     return post.where(F.col("term").isin(terms)).groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") == len(terms)).select("id")
 
 
-def _is(term: str):
-    return lambda w: w == F.lit(term)
-
-
 def bm25(docs: DataFrame, id_col: str, text_col: str, terms: list[str], every: bool = False) -> DataFrame:
     """``(id, score)`` of documents with any (or every) term; only the query's postings are built."""
     terms = list(dict.fromkeys(terms))
-    base = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("t"))
-    base = base.select("id", F.size("t").alias("len"), F.array(*[F.struct(F.lit(q).alias("term"), F.size(F.filter("t", _is(q))).alias("tf")) for q in terms]).alias("hits")).where("len > 0")
+    texts = spread(docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    base = texts.select("id", tokens(F.col("text")).alias("t"))
+    base = base.select("id", F.size("t").alias("len"), F.array(*[F.struct(F.lit(q).alias("term"), (F.size("t") - F.size(F.array_remove("t", q))).alias("tf")) for q in terms]).alias("hits")).where("len > 0")
+    base = write_table(base, "hits")  # texts are tokenised once for the statistics and the scores
     stats = base.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"), *[F.count_if(F.col("hits")[k]["tf"] > 0).alias(f"df{k}") for k in range(len(terms))])
     rows = base.where(F.exists("hits", lambda h: h["tf"] > 0)).crossJoin(F.broadcast(stats))  # one row on the right
     score = F.lit(0.0)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import align, norm, refs, similarity
 from ..functions import text as tx
 from ..operators import linkage, search
+from ..shared import spread, write_table
 from .registry import VISIBLE, WORKS, query
 
 
@@ -61,21 +62,19 @@ def join_strong_range(t):
 
 def _items(df, id_col, words, width):
     """Distinct fingerprint items of the texts."""
-    return linkage.exploded(df.select(id_col, words.alias("w")), id_col, similarity.shingles(F.col("w"), width) if width > 1 else F.array_distinct("w"))
+    return linkage.exploded(spread(df).select(id_col, words.alias("w")), id_col, similarity.shingles(F.col("w"), width) if width > 1 else F.array_distinct("w"))
 
 
 @query()
 def join_jaccard_best(t):
-    d = t.markdown.where("body is not null")
+    d = t.markdown.where("body is not null").select("md_id", "source", "body")
     fp = similarity.fingerprint(F.col("body"))
     return linkage.jaccard_best(_items(d.where("source = 'mevar-pdfs'"), "md_id", fp, 1), _items(d.where("source = 'mevar'"), "md_id", fp, 1), 0.5)
 
 
 @query("WITH w AS (SELECT doc_id AS id, list_filter(string_split(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT DISTINCT id, array_to_string(w[k:k+4], ' ') AS s FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS k FROM w)), n AS (SELECT id, count(*) AS n FROM i GROUP BY 1), d AS (SELECT s FROM i GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20), k AS (SELECT i.* FROM i JOIN d USING (s)), p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM k a JOIN k b ON a.s = b.s AND a.id < b.id GROUP BY 1, 2 HAVING count(*) >= 50) SELECT a, b, shared, round(shared / x.n, 3) AS share_a, round(shared / y.n, 3) AS share_b, CASE WHEN least(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.9 THEN 'same_text' WHEN greatest(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.7 THEN 'same_sermon' WHEN greatest(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.2 THEN 'uncertain' ELSE 'none' END AS band FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b")
 def join_shingle_pairs(t):
-    from ..shared import write_table
-
-    i = write_table(_items(t.documents.where("text is not null"), "doc_id", norm.words(F.col("text")), 5), "items")
+    i = write_table(_items(t.documents.where("text is not null").select("doc_id", "text"), "doc_id", norm.words(F.col("text")), 5), "items")
     pairs = linkage.shared_pairs(i, 20, 50)
     return linkage.with_containment(pairs, i.groupBy("id").agg(F.count("*").alias("n"))).select("a", "b", "shared", "share_a", "share_b", "band")
 
@@ -285,7 +284,7 @@ _LONG = "list_filter(string_split_regex(regexp_replace(lower(text), '[^a-zà-ÿ
 
 @query(f"SELECT doc_id, len(list_distinct({_LONG}[1:200])) AS n_first, least(200, len(list_distinct({_LONG}))) AS n_distinct FROM documents WHERE text IS NOT NULL")
 def tok_fingerprint(t):
-    d = t.documents.where("text is not null")
+    d = spread(t.documents.where("text is not null").select("doc_id", "text"))
     return d.select("doc_id", F.size(similarity.fingerprint(F.col("text"))).cast("long").alias("n_first"), F.size(similarity.fingerprint_distinct(F.col("text"))).cast("long").alias("n_distinct"))
 
 
@@ -313,7 +312,7 @@ def tok_ocr_noise(t):
 
 @query()
 def extract_refs_fr(t):
-    d = t.markdown.where("body is not null and lang = 'fr'").select("md_id", F.inline(refs.extract(F.col("body"), "fr")))
+    d = spread(t.markdown.where("body is not null and lang = 'fr'").select("md_id", "body")).select("md_id", F.inline(refs.extract(F.col("body"), "fr")))
     return d.select("md_id", "index", "ref")
 
 

@@ -34,6 +34,15 @@ def write_table(df: DataFrame, label: str, codec: str = "lz4") -> DataFrame:
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table of few files over all cores, for work that costs more than moving them.
+
+    A table of at least as many splits as there are cores is left as it is: nothing is moved at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def drop_table(*tables: DataFrame) -> None:
     """Delete written tables that nothing reads any more."""
     for t in tables:
