@@ -144,7 +144,7 @@ def listing_md(lines: DataFrame, id_pattern: str = r"^(\d{2}-\d{4}[A-Z]?)\s*$",
     link = F.regexp_extract(F.array_join("next", "\n"), r"\((https?://[^)\s]+\.pdf)\)", 1)
     minutes = F.regexp_extract(F.array_join("next", "\n"), r"(\d+) min", 1)
     title = F.trim(F.regexp_replace(F.col("next")[0], F.concat(F.lit("^"), F.col("id"), F.lit(r"\s*")), F.lit("")))
-    return rows.select("doc", "id", title.alias("title"), F.col("next")[1].alias("location"), minutes.cast("int").alias("minutes"), F.nullif(link, F.lit("")).alias("pdf_url"))
+    return rows.select("doc", "id", title.alias("title"), F.col("next")[1].alias("location"), F.nullif(minutes, F.lit("")).cast("int").alias("minutes"), F.nullif(link, F.lit("")).alias("pdf_url"))
 
 
 def url_list(links: DataFrame, col: str) -> DataFrame:
