@@ -5,8 +5,8 @@ the posterior of a naive Bayes classifier fitted on labelled documents; one of a
 (how often a document is used) are nonnegative and at most the cap of its sources; projected-gradient least squares
 fits them so that the expected tokens of every source match its share of the total.  Documents of equal membership
 have equal gradients, hence equal rates: memberships are kept in ``1 / GRAIN`` steps, so the gradient works on sums
-over all documents in a table whose size is bounded whatever the corpus.  Rates become whole repeats by a threshold
-on a hash of the id, chosen from token sums per hash bin, so that the tokens used meet the fitted ones.
+over all documents in a table whose size is bounded whatever the corpus.  Rates become whole repeats by bins of a
+hash of the id: of each source the bins are taken once more whose tokens add up to what the fitted rates want.
 
 The total.  The largest total for which all sources with documents reach their shares, but no less than
 ``LEAST_FILL`` of the tokens there are; sources that cannot reach their share of that are used up to their cap, the
@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import write_table
+from ..shared import spread, write_table
 from . import encoding, shingles
 
-#: Labelled documents that the classifier is fitted on, at most: those with the smallest hashes of their ids.
+#: Labelled documents that the classifier is fitted on, about and at most: those whose hashed ids are small enough.
 SAMPLE = 20_000
 FEATURE_BITS = 14
 GRAIN = 8
@@ -72,13 +72,14 @@ def _in_grains(p: np.ndarray) -> list[int]:
 def memberships(docs: DataFrame, targets: list[str], id_col: str, text_col: str, source_col: str, extra: list[str]) -> DataFrame:
     """``(id, source, grains, n_tokens)``: membership of each usable document in the sources ``targets``."""
     listed = F.col(source_col).isin(targets)
-    order = F.xxhash64(id_col)
-    sample = docs.where(listed).select(source_col, text_col, *extra, order.alias("h")).orderBy("h").limit(SAMPLE)
+    n = docs.where(listed).count()
+    share = F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE / max(n, 1))) + 1
+    sample = docs.where(listed & share).select(source_col, text_col, *extra)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = [b.column(k).to_pylist() for k in range(b.num_columns)]
-            feats = [_features(t, list(x)).astype(np.int32).tobytes() for t, *x in zip(*cols[1:-1])]
+            feats = [_features(t, list(x)).astype(np.int32).tobytes() for t, *x in zip(*cols[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(feats, pa.binary())], names=["label", "f"])
 
     fitted = NaiveBayes(targets)
@@ -103,7 +104,7 @@ def memberships(docs: DataFrame, targets: list[str], id_col: str, text_col: str,
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(grains, pa.list_(pa.int32())), pa.array(n)], names=["id", "source", "grains", "n_tokens"])
 
     usable = docs.where(listed | F.col(source_col).isNull()).select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"), *extra)
-    return usable.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, source string, grains array<int>, n_tokens long")
+    return spread(usable).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, source string, grains array<int>, n_tokens long")
 
 
 def fit_rates(grains: np.ndarray, tokens: np.ndarray, shares: np.ndarray, caps: np.ndarray, least_fill: float = LEAST_FILL) -> tuple[np.ndarray, np.ndarray]:
@@ -128,6 +129,22 @@ def fit_rates(grains: np.ndarray, tokens: np.ndarray, shares: np.ndarray, caps:
     return rate, want
 
 
+def _fill(row: np.ndarray, part: float) -> np.ndarray:
+    """Bins whose tokens add up to ``part`` as nearly as taking each that still fits, in order, and one more can do."""
+    taken, total = np.zeros(len(row), bool), 0.0
+    for k, x in enumerate(row):
+        if x and total + x <= part + 1e-6:
+            taken[k] = True
+            total += x
+    rest = np.where(taken | (row == 0), np.inf, np.abs(total + row - part))
+    if rest.min() < part - total:
+        taken[int(rest.argmin())] = True
+    return taken
+
+
+_REPORT = "source string, target_share double, max_repeats int, tokens_wanted double, n_documents long, n_used long, tokens_there long, tokens double, most_repeats int, actual_share double"
+
+
 def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", extra: tuple[str, ...] = ("lang", "kind"), least_fill: float = LEAST_FILL) -> tuple[DataFrame, DataFrame]:
     """``used(id, source, predicted, n_tokens, repeats)`` and ``report`` with the shares reached.
 
@@ -142,6 +159,10 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     shares = np.array([r.w for r in goal], float)
     shares = shares / shares.sum() if len(shares) else shares
     caps = np.array([1 if r.cap is None else max(r.cap, 0) for r in goal], float)
+    if not names:
+        key = docs.schema[id_col].dataType.simpleString()
+        nothing = spark.createDataFrame([], f"id {key}, source string, predicted boolean, n_tokens long, repeats int")
+        return nothing, spark.createDataFrame([], _REPORT)
     held = write_table(memberships(docs, names, id_col, text_col, source_col, list(extra)).where("n_tokens > 0").withColumn("bin", F.pmod(F.xxhash64("id"), F.lit(BINS)).cast("int")), "members")
     # at most as many memberships as there are ways to give GRAIN grains to the sources
     sums = held.groupBy("grains").agg(F.sum("n_tokens").alias("t")).orderBy("grains").collect()
@@ -156,13 +177,12 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     rules = []
     for g, x in soft.items():
         if max(g) == GRAIN and (row := table[g.index(GRAIN)]).sum():
-            part = (x - np.floor(x)) * row.sum()
-            cut = int(np.argmin(np.abs(np.r_[0, np.cumsum(row)] - part)))
+            once_more = _fill(row, (x - np.floor(x)) * row.sum())
         else:
-            cut = round((x - np.floor(x)) * BINS)
-        rules.append((list(g), int(np.floor(x)), cut))
-    rule = spark.createDataFrame(rules, "grains array<int>, whole int, cut int")
-    used = held.join(F.broadcast(rule), "grains").withColumn("repeats", F.col("whole") + (F.col("bin") < F.col("cut")).cast("int"))
+            once_more = np.arange(BINS) < round((x - np.floor(x)) * BINS)
+        rules.append((list(g), int(np.floor(x)), once_more.tolist()))
+    rule = spark.createDataFrame(rules, "grains array<int>, whole int, more array<boolean>")
+    used = held.join(F.broadcast(rule), "grains").withColumn("repeats", F.col("whole") + F.get("more", F.col("bin")).cast("int"))
     named = F.array(*[F.lit(n) for n in names]) if names else F.array(F.lit(None).cast("string"))
     best = F.element_at(named, F.array_position("grains", F.array_max("grains")).cast("int"))
     used = used.select("id", F.coalesce("source", best).alias("source"), F.col("source").isNull().alias("predicted"), "grains", "n_tokens", "repeats")
