@@ -5,7 +5,8 @@ a hash drawn anew each round.  A taken vertex of degree one is stripped; one of
 chain, its neighbours being joined (random-mate list ranking: a chain or ring shrinks by a constant share each
 round).  Each taken vertex remembers the neighbour it hangs on and hands it the smallest name it has seen.  The core
 that is left, where all degrees are three or more, is solved by alternating large-star and small-star steps.
-Labels then go back to the taken vertices, last round first.
+Labels then go back to the taken vertices: their parents form a forest, whose pointers are doubled until they reach
+vertices that were never taken.
 
 Scale.  All tables are edges or (vertex, parent) pairs; rounds shrink geometrically, each is written to the shared
 folder so that lineage stays short.  A vertex with very many neighbours is only ever aggregated with map-side
@@ -21,6 +22,8 @@ from ..shared import drop_table, write_table
 
 #: Rounds of stripping; whatever is left after them belongs to the core, so the number decides only who does the work.
 MAX_ROUNDS = 40
+#: Stripping ends when fewer than one vertex in so many edges has degree one or two: the core's solver takes the rest.
+WORTH = 50
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
@@ -66,11 +69,12 @@ def connected_groups(pairs: DataFrame, a: str, b: str, rounds: int = MAX_ROUNDS)
     # lows: the smallest name seen so far by vertices that got one from elsewhere
     seen = write_table(_both(edges).groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("m")), "seen")
     taken: list[DataFrame] = []
+    left = edges.count()
     for k in range(rounds):
         both = _both(edges)
         near = both.groupBy("v").agg(F.count("*").alias("d"), F.min("w").alias("w1"), F.max("w").alias("w2"))
         small = write_table(near.where("d <= 2"), "small")
-        if small.isEmpty():
+        if small.count() * WORTH < left or left == 0:
             drop_table(small)
             break
         # a candidate yields to a neighbouring candidate that was drawn before it
@@ -85,14 +89,14 @@ def connected_groups(pairs: DataFrame, a: str, b: str, rounds: int = MAX_ROUNDS)
         given = seen.join(out.select("v", "w1"), "v").select(F.col("w1").alias("v"), "m")
         kept = seen.join(gone, "v", "left_anti")
         still = write_table(kept.unionByName(given).groupBy("v").agg(F.min("m").alias("m")), "seen")
-        taken.append(out.select("v", F.col("w1").alias("parent")))
-        taken[-1].shared_path = out.shared_path
+        hung = out.select("v", F.col("w1").alias("parent"))
+        hung.shared_path = out.shared_path
+        taken.append(hung)
         drop_table(edges, seen, small)
         edges, seen = after, still
-        if edges.isEmpty():
-            break
+        left = edges.count()
     labels = seen
-    if not edges.isEmpty():
+    if left:
         core = _stars(edges)
         core = core.unionByName(core.select(F.col("label").alias("v"), "label").distinct())
         named = seen.join(core, "v", "left").select("v", "m", F.coalesce("label", "v").alias("core"))
@@ -100,10 +104,18 @@ def connected_groups(pairs: DataFrame, a: str, b: str, rounds: int = MAX_ROUNDS)
         labels = named.join(low, "core").select("v", F.col("low").alias("m"))
     labels = write_table(labels, "labels")
     drop_table(edges, seen)
-    # parents of one round were all alive after it: going back, each round needs one join
-    for out in reversed(taken):
-        more = write_table(out.join(labels.select(F.col("v").alias("parent"), "m"), "parent").select("v", "m"), "labels")
-        both = write_table(labels.unionByName(more), "labels")
-        drop_table(labels, more, out)
-        labels = both
+    if not taken:
+        return labels.select(F.col("v").alias("record"), F.col("m").alias("group"))
+    up = taken[0]
+    for t in taken[1:]:
+        up = up.unionByName(t)
+    up = write_table(up, "parents")
+    drop_table(*taken)
+    reach = 1
+    while reach < len(taken):  # a parent was taken in a later round, so no way up is longer than the rounds
+        further = up.select(F.col("v").alias("parent"), F.col("parent").alias("over"))
+        new = write_table(up.join(further, "parent", "left").select("v", F.coalesce("over", "parent").alias("parent")), "parents")
+        drop_table(up)
+        up, reach = new, 2 * reach
+    labels = labels.unionByName(up.join(labels.select(F.col("v").alias("parent"), "m"), "parent").select("v", "m"))
     return labels.select(F.col("v").alias("record"), F.col("m").alias("group"))
