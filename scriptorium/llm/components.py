@@ -3,7 +3,7 @@
 Method.  Each round takes the vertices of degree one and two and, of neighbouring ones, only those that come first by
 a hash drawn anew each round.  A taken vertex of degree one is stripped; one of degree two is spliced out of its
 chain, its neighbours being joined (random-mate list ranking: a chain or ring shrinks by a constant share each
-round).  Each taken vertex remembers the neighbour it hangs on and hands it the smallest name it has seen.  The core
+round).  Each taken vertex remembers the neighbour it hangs on.  The core
 that is left, where all degrees are three or more, is solved by alternating large-star and small-star steps.
 Labels then go back to the taken vertices: their parents form a forest, whose pointers are doubled until they reach
 vertices that were never taken.
@@ -66,8 +66,7 @@ def connected_groups(pairs: DataFrame, a: str, b: str, rounds: int = MAX_ROUNDS)
     one are not in the result; an empty table gives an empty result; other columns are ignored.
     """
     edges = write_table(_edges(pairs.select(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))), "edges")
-    # lows: the smallest name seen so far by vertices that got one from elsewhere
-    seen = write_table(_both(edges).groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("m")), "seen")
+    vertices = write_table(edges.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "vertices")
     taken: list[DataFrame] = []
     left = edges.count()
     for k in range(rounds):
@@ -86,36 +85,29 @@ def connected_groups(pairs: DataFrame, a: str, b: str, rounds: int = MAX_ROUNDS)
         rest = edges.join(gone.withColumnRenamed("v", "a"), "a", "left_anti").join(gone.withColumnRenamed("v", "b"), "b", "left_anti")
         spliced = out.where("w1 <> w2").select(F.col("w1").alias("a"), F.col("w2").alias("b"))
         after = write_table(rest.unionByName(spliced).distinct(), "edges")
-        given = seen.join(out.select("v", "w1"), "v").select(F.col("w1").alias("v"), "m")
-        kept = seen.join(gone, "v", "left_anti")
-        still = write_table(kept.unionByName(given).groupBy("v").agg(F.min("m").alias("m")), "seen")
         hung = out.select("v", F.col("w1").alias("parent"))
         hung.shared_path = out.shared_path
         taken.append(hung)
-        drop_table(edges, seen, small)
-        edges, seen = after, still
-        left = edges.count()
-    labels = seen
+        drop_table(edges, small)
+        edges, left = after, after.count()
+    root = vertices.withColumn("root", F.col("v"))
+    if taken:
+        up = taken[0]
+        for t in taken[1:]:
+            up = up.unionByName(t)
+        up = write_table(up, "parents")
+        drop_table(*taken)
+        reach = 1
+        while reach < len(taken):  # a parent was taken in a later round, so no way up is longer than the rounds
+            further = up.select(F.col("v").alias("parent"), F.col("parent").alias("over"))
+            new = write_table(up.join(further, "parent", "left").select("v", F.coalesce("over", "parent").alias("parent")), "parents")
+            drop_table(up)
+            up, reach = new, 2 * reach
+        root = vertices.join(up, "v", "left").select("v", F.coalesce("parent", "v").alias("root"))
     if left:
         core = _stars(edges)
-        core = core.unionByName(core.select(F.col("label").alias("v"), "label").distinct())
-        named = seen.join(core, "v", "left").select("v", "m", F.coalesce("label", "v").alias("core"))
-        low = named.groupBy("core").agg(F.min("m").alias("low"))
-        labels = named.join(low, "core").select("v", F.col("low").alias("m"))
-    labels = write_table(labels, "labels")
-    drop_table(edges, seen)
-    if not taken:
-        return labels.select(F.col("v").alias("record"), F.col("m").alias("group"))
-    up = taken[0]
-    for t in taken[1:]:
-        up = up.unionByName(t)
-    up = write_table(up, "parents")
-    drop_table(*taken)
-    reach = 1
-    while reach < len(taken):  # a parent was taken in a later round, so no way up is longer than the rounds
-        further = up.select(F.col("v").alias("parent"), F.col("parent").alias("over"))
-        new = write_table(up.join(further, "parent", "left").select("v", F.coalesce("over", "parent").alias("parent")), "parents")
-        drop_table(up)
-        up, reach = new, 2 * reach
-    labels = labels.unionByName(up.join(labels.select(F.col("v").alias("parent"), "m"), "parent").select("v", "m"))
-    return labels.select(F.col("v").alias("record"), F.col("m").alias("group"))
+        root = root.join(core.select(F.col("v").alias("root"), "label"), "root", "left").select("v", F.coalesce("label", "root").alias("root"))
+    root = write_table(root, "roots")
+    drop_table(edges, vertices)
+    low = root.groupBy("root").agg(F.min("v").alias("group"))
+    return root.join(low, "root").select(F.col("v").alias("record"), "group")
