@@ -168,7 +168,7 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     sums = held.groupBy("grains").agg(F.sum("n_tokens").alias("t")).orderBy("grains").collect()
     grains = np.array([r.grains for r in sums]).reshape(len(sums), len(names))
     rate, want = fit_rates(grains, np.array([r.t for r in sums], float), shares, caps, least_fill) if sums else (np.zeros(0), np.zeros(len(names)))
-    # one threshold for each source, from the tokens of each of its bins
+    # a bounded table: the tokens of each bin of each source
     bins = held.where("source is not null").groupBy("source", "bin").agg(F.sum("n_tokens").alias("t")).collect()
     table = np.zeros((len(names), BINS))
     for r in bins:
@@ -183,7 +183,7 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
         rules.append((list(g), int(np.floor(x)), once_more.tolist()))
     rule = spark.createDataFrame(rules, "grains array<int>, whole int, more array<boolean>")
     used = held.join(F.broadcast(rule), "grains").withColumn("repeats", F.col("whole") + F.get("more", F.col("bin")).cast("int"))
-    named = F.array(*[F.lit(n) for n in names]) if names else F.array(F.lit(None).cast("string"))
+    named = F.array(*[F.lit(n) for n in names])
     best = F.element_at(named, F.array_position("grains", F.array_max("grains")).cast("int"))
     used = used.select("id", F.coalesce("source", best).alias("source"), F.col("source").isNull().alias("predicted"), "grains", "n_tokens", "repeats")
     each = used.select(F.posexplode("grains").alias("k", "g"), "n_tokens", "repeats").where("g > 0").groupBy("k").agg(F.count("*").alias("n_documents"), F.count_if(F.col("repeats") > 0).alias("n_used"), F.sum("n_tokens").alias("tokens_there"), F.sum(F.col("g") * F.col("n_tokens") * F.col("repeats") / GRAIN).alias("tokens"), F.max("repeats").alias("most_repeats"))

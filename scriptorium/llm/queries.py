@@ -121,6 +121,14 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "p1_found": """
+        WITH w AS (SELECT md_id, regexp_extract_all(strip_accents(lower(body)), '[a-z0-9]+') AS w FROM markdown WHERE body IS NOT NULL),
+        i AS (SELECT DISTINCT md_id, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] AS s
+              FROM (SELECT md_id, w, unnest(range(1, len(w) - 1)) AS k FROM w WHERE len(w) >= 30)),
+        n AS (SELECT md_id, count(*) AS n FROM i GROUP BY 1),
+        p AS (SELECT a.md_id AS md_id_a, b.md_id AS md_id_b, count(*) AS c FROM i a JOIN i b ON a.s = b.s AND a.md_id < b.md_id GROUP BY 1, 2)
+        SELECT md_id_a, md_id_b FROM p JOIN n x ON x.md_id = md_id_a JOIN n y ON y.md_id = md_id_b
+        WHERE 5 * c >= 3 * (x.n + y.n - c)""",
     "p6_found": """
         WITH r AS (
           SELECT coalesce(m.duplicate_of, m.path) AS group_key, m.md_id,

@@ -35,7 +35,7 @@ def test_ordinary_text_is_stable(text):
 
 def test_spliced_segments_equal_the_whole():
     text = "début ｘ milieu é fin " * 200
-    assert C.canonical(text) == "".join(C.canonical(p) for p in text.split(" ") if False) or C.canonical(text) == unicodedata.normalize("NFKC", text)
+    assert C.canonical(text) == unicodedata.normalize("NFKC", text)
 
 
 def test_column(spark):
