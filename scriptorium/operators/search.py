@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,14 +75,58 @@ def highlight(c: Column, terms: list[str], sign: str = "**") -> Column:
     return F.regexp_replace(c, rf"(?iu)\b({alt})\b", f"{sign}$1{sign}")
 
 
-def cosine_top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """``(query, id, score)``: the ``k`` nearest others of each query vector, exactly.
+#: Query vectors that are compared with all rows in one pass; bounds what is sent to the workers.
+BLOCK = 4096
 
-    ``queries`` is a stated set, broadcast when small; ties go to the smaller id.
+
+def cosine_top(vectors: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """``(query, id, score, rank)``: the ``k`` nearest others of each query vector, exactly; ties to the smaller id.
+
+    ``queries`` is a stated set, taken in blocks: one pass over the vectors for each block, in which every batch keeps
+    its best ``k`` of each query, so that little is moved whatever the number of rows.  Null and zero vectors are
+    nobody's neighbours and have none.
     """
-    q = queries.select(F.col("id").alias("query"), F.col("vector").alias("q"))
-    rows = vectors.select("id", "vector").join(q, F.col("id") != F.col("query"))
-    scored = rows.select("query", "id", similarity.cosine(F.col("vector"), F.col("q")).alias("score")).where("score is not null")
+    spark = vectors.sparkSession
+    parts, now = [], []
+
+    def one(rows: list) -> DataFrame:
+        sent = spark.sparkContext.broadcast(([r.id for r in rows], np.array([r.vector for r in rows], float)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, q = sent.value
+            q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
+            for b in batches:
+                ids, v = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), float).reshape(b.num_rows, -1)
+                size = np.linalg.norm(v, axis=1) if b.num_rows else np.zeros(0)
+                ids, v = ids[size > 0], v[size > 0] / size[size > 0][:, None]
+                if not len(ids):
+                    continue
+                score = q @ v.T
+                out: list[tuple[int, int, float]] = []
+                for n, row in zip(names, score):
+                    row = np.where(ids == n, -np.inf, row)
+                    edge = np.partition(row, -min(k, len(row)))[-min(k, len(row))]
+                    at = np.flatnonzero(row >= edge)
+                    at = at[np.lexsort((ids[at], -row[at]))][:k]
+                    out += [(n, int(ids[j]), float(row[j])) for j in at if row[j] > -2]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], names=["query", "id", "score"])
+
+        return vectors.where("vector is not null").select(F.col("id").cast("long").alias("id"), "vector").mapInArrow(run, "query long, id long, score double")
+
+    for r in queries.where("vector is not null").select(F.col("id").cast("long").alias("id"), "vector").toLocalIterator():
+        if any(r.vector):
+            now.append(r)
+        if len(now) == block:
+            parts.append(one(now))
+            now = []
+    if now:
+        parts.append(one(now))
+    if not parts:
+        return spark.createDataFrame([], "query long, id long, score double, rank int")
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
     w = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -162,8 +207,6 @@ def with_cache(docs: DataFrame, cache: DataFrame, model: str) -> tuple[DataFrame
 
 def embed(docs: DataFrame, text_col: str, embedder, most: int = 22_500) -> DataFrame:
     """``(content_hash, vector)`` of the distinct texts, cut to ``most`` characters for the model, by a given callable."""
-    from collections.abc import Iterator
-
     import pandas as pd
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import write_table
 
-def paginate(df: DataFrame, order: list, size: int = 60, by: list[str] | None = None) -> DataFrame:
-    """Page number of each row; within groups, or over all rows of a list that is already bounded."""
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)
-    return df.withColumn("page", F.ceil(F.row_number().over(w) / size).cast("int"))
+
+def ranked(df: DataFrame, by: list[str], order: list) -> DataFrame:
+    """``rank`` of each row in its group, from 1, where a group may be too large for one task.
+
+    Rows are range-partitioned by group and order; a row's rank is its number in its partition's part of the group
+    and the sizes of the parts before it.
+    """
+    placed = write_table(df.repartitionByRange(*by, *order).withColumn("_p", F.spark_partition_id()), "ranges")
+    own = placed.withColumn("_k", F.row_number().over(Window.partitionBy("_p", *by).orderBy(*order)))
+    sizes = placed.groupBy("_p", *by).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_p", *by, F.coalesce(before, F.lit(0)).alias("_o"))
+    on = [own[c].eqNullSafe(offsets[c]) for c in ("_p", *by)]
+    return own.join(offsets, on).select(*[own[c] for c in df.columns], (F.col("_k") + F.col("_o")).alias("rank"))
+
+
+def paginate(df: DataFrame, order: list, size: int, by: list[str]) -> DataFrame:
+    """Page number of each row in its group."""
+    return ranked(df, by, order).withColumn("page", F.ceil(F.col("rank") / size).cast("int")).drop("rank")
 
 
 def prev_next(df: DataFrame, group: str, order: list, id_col: str) -> DataFrame:

@@ -192,7 +192,6 @@ def s10_chapter(t):
 def s11_verse(t):
     e = t.cited
     many = e.groupBy("ref_id").agg(F.count("*").alias("n")).where("n > 60").select("ref_id")
-    # the number of a work among a verse's is a running count: partitions of one verse stay sorted, nothing is gathered
     return windows.paginate(e.join(many, "ref_id", "left_semi"), ["path"], 60, ["ref_id"]).select("ref_id", "path", "page")
 
 

@@ -131,3 +131,21 @@ def test_stream_keeps_the_latest(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out" / "v2"))
     assert rows(got) == rows(progress.progress(src, ["user_id"]))
+
+
+def test_ranks_over_range_partitions(spark):
+    df = spark.range(500).select((F.col("id") % 3).cast("string").alias("g"), F.pmod(F.xxhash64("id"), F.lit(50)).alias("x"), "id").repartition(6)
+    df = df.withColumn("g", F.when(F.col("g") == "2", None).otherwise(F.col("g")))
+    got = windows.ranked(df, ["g"], [F.col("x").desc(), "id"]).collect()
+    for g in ("0", "1", None):
+        own = sorted((r for r in got if r.g == g), key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == list(range(1, len(own) + 1))
+        assert own == sorted(own, key=lambda r: (-r.x, r.id))
+
+
+def test_cosine_in_blocks(spark):
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    q = e.where("id % 50 = 0")
+    plain = lambda df: sorted((r.query, r.id, r["rank"], round(r.score, 9)) for r in df.collect())
+    assert plain(search.cosine_top(e, q, 5, block=3)) == plain(search.cosine_top(e, q, 5))
+    assert search.cosine_top(e, q.limit(0), 5).isEmpty()
