@@ -1,7 +1,8 @@
 """Sets of word-sequence fingerprints, computed for whole Arrow batches at once with NumPy.
 
 A text is decomposed canonically, U+0300-U+036F are dropped, the rest is lower-cased and its words are the
-maximal runs of ``a-z0-9``.  Every run of ``width`` words becomes one 64-bit fingerprint.  No step works text by
+maximal runs of ``a-z0-9``.  Every run of ``width`` words becomes one 48-bit fingerprint, the
+high bits of an integer of 64.  No step works text by
 text except the decomposition itself, which ``unicodedata`` does in C.
 """
 
@@ -51,15 +52,25 @@ class Words:
     """The words of some texts: hashes, first and last bytes in ``data``, and the number of words of each text."""
 
     def __init__(self, texts: list[str]):
-        raw = [fold(t).encode("utf-8", "surrogatepass") for t in texts]
-        self.data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        raw = [(t if t.isascii() else unicodedata.normalize("NFD", t)).lower().encode("utf-8", "surrogatepass") for t in texts]
+        data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        edges = np.cumsum([len(r) + 1 for r in raw])
+        # U+0300-U+036F are the bytes CC 80 to CD AF
+        mark = data[:-1] == 0xCC
+        mark |= (data[:-1] == 0xCD) & (data[1:] <= 0xAF)
+        if mark.any():
+            keep = np.ones(len(data), bool)
+            keep[:-1] &= ~mark
+            keep[1:] &= ~mark
+            edges = np.cumsum(keep)[edges - 1]
+            data = data[keep]
+        self.data, self.edges = data, edges
         if len(self.data) > _CHUNK * 2:
             up, down = _powers(len(self.data) + 1)
         else:
             if "p" not in _cache:
                 _cache["p"] = _powers(_CHUNK * 2 + 1)
             up, down = _cache["p"]
-        self.edges = np.cumsum([len(r) + 1 for r in raw])
         inside = _INSIDE[self.data]
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         if inside[0]:
@@ -111,9 +122,13 @@ def shingle_sets(texts: list[str], width: int, least_words: int = 0) -> tuple[np
     n = np.where(counts >= max(width, least_words), counts - width + 1, 0)
     owner = np.repeat(np.arange(len(texts)), n)
     within = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-    tokens = grams[first[owner] + within]
-    order = np.lexsort((tokens, owner))
-    tokens, owner = tokens[order], owner[order]
-    keep = np.ones(len(tokens), bool)
-    keep[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
-    return tokens[keep], np.bincount(owner[keep], minlength=len(texts)), counts
+    tokens = grams[first[owner] + within] >> np.uint64(16)
+    found, sizes = [], []
+    for lo in range(0, len(texts), 1 << 16):  # text and fingerprint in one integer: one plain sort
+        a, b = np.searchsorted(owner, (lo, lo + (1 << 16)))
+        both = (owner[a:b] - lo).astype(np.uint64) << np.uint64(48) | tokens[a:b]
+        both.sort()
+        both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
+        found.append(both << np.uint64(16))
+        sizes.append(np.bincount((both >> np.uint64(48)).astype(np.int64), minlength=min(1 << 16, len(texts) - lo)))
+    return np.concatenate(found), np.concatenate(sizes), counts
