@@ -58,7 +58,6 @@ def book_forms(lang: str) -> dict[str, str]:
     return forms
 
 
-_FOLDED = {"a": "aàâä", "c": "cç", "e": "eéèêë", "i": "iîï", "o": "oôö", "u": "uùûü"}
 #: What may be a book and a chapter: a numeral, one word (or a book of several), a number.
 _MAYBE = re.compile(
     r"(?<!\w)(?P<num>(?:[123]\s*\.?\s*|(?:I{1,3}|1[eè]re?|[23](?:e|[eè]me)|premi[eè]re?|premier|deuxi[eè]me|seconde?|troisi[eè]me|first|second|third|1st|2nd|3rd)\.?\s+|(?:st|saint)\.?\s+))?"
@@ -194,12 +193,21 @@ def _written(text: str, lang: str) -> Iterator[tuple[int, str, str]]:
             continue
         ref = render(book, chapter, verses)
         yield start, text[start : r.at], ref if verses else _quoted(text, r.at, book, chapter, lang)
-        while verses and lang == "fr":  # the same book goes on to another chapter: "; 4:30", " et 8.14"
-            n = re.compile(r"[^\S\n]*(?:[;,]|[^\S\n]+et)[^\S\n]*(\d{1,3})(?:\s*:\s*|\.(?=[1-9]))(\d{1,3})(?:\s*[-–—]\s*(\d{1,3}))?(?!\d|[.:]\d)", re.I).match(text, r.at)
-            if not n or not possible(book, int(n[1]), [(int(n[2]), None)], lang):
-                break
-            yield n.start(1), text[n.start(1) : n.end()], render(book, int(n[1]), [(int(n[2]), int(n[3]) if n[3] else None)])
-            r.at = n.end()
+        while verses and lang == "fr" and (more := _next_chapter(r, book)):  # the same book goes on: "; 4:30", " et 8.14"
+            yield more
+
+
+def _next_chapter(r: _Reader, book: str) -> tuple[int, str, str] | None:
+    """Another chapter and verse of the same book right after a citation; the reader stays where it was if there is none."""
+    back = r.at
+    if r.take(r"[^\S\n]*[;,][^\S\n]*|[^\S\n]+et[^\S\n]+"):
+        begin, chapter = r.at, r.take(r"\d{1,3}(?!\d)")
+        if chapter and r.take(r"\s*:\s*|\.(?=[1-9])"):
+            verse = r.span()
+            if verse and possible(book, int(chapter[0]), [verse]):
+                return begin, r.text[begin : r.at], render(book, int(chapter[0]), [verse])
+    r.at = back
+    return None
 
 
 def _quoted(text: str, at: int, book: str, chapter: int, lang: str) -> str:
@@ -217,72 +225,175 @@ def _quoted(text: str, at: int, book: str, chapter: int, lang: str) -> str:
     return render(book, chapter, verses if possible(book, chapter, verses, lang) else [])
 
 
-@functools.cache
-def _full(lang: str) -> str:
-    books = BOOKS_FR if lang == "fr" else BOOKS_EN
-    names = {re.sub(r"^[123] ", "", b) for b in books}
-    plain = sorted({*names, *(("Psaume", "Saint John", "Saint Matthew", "Saint Mark", "Saint Luke") if lang == "en" else ("Psaume",))}, key=len, reverse=True)
-    number = "|".join(o for os in _ORDINALS.values() for o in sorted(os, key=len, reverse=True))
-    body = "|".join("".join(f"[{_FOLDED[_key(c)]}{_FOLDED[_key(c)].upper()}]" if _key(c) in _FOLDED else re.escape(c) for c in n) for n in plain)
-    return rf"(?:(?:{number})\s+)?(?:{body})"
+class _Said:
+    """A text as words, numbers and signs, and what they say of books and verses around "chapter"."""
+
+    _PIECE = re.compile(r"\d+|[^\W\d_]+|[^\w\s]")
 
+    def __init__(self, text: str, lang: str):
+        self.text, self.lang = text, lang
+        self.span = [m.span() for m in self._PIECE.finditer(text)]
+        self.key = [_key(text[a:b]) if text[a:b] != "." else "." for a, b in self.span]
+        self.names = {_key(n) for n in (BOOKS_FR if lang == "fr" else BOOKS_EN)}
+        self.names |= {"psaume"} if lang == "fr" else {k for k in SHORT_EN if k.startswith("saint ")}
 
-def _named(raw: str, lang: str) -> str | None:
-    return book_forms(lang).get(_key(raw))
+    def number(self, k: int) -> int | None:
+        return int(self.key[k]) if 0 <= k < len(self.key) and self.key[k].isdigit() and len(self.key[k]) <= 3 else None
 
+    def at(self, k: int) -> str:
+        return self.key[k] if 0 <= k < len(self.key) else ""
 
-_V_FR = r"(?:\s*[:.]\s*(\d{1,3})|[\s,(]*(?:(?:à partir )?du |au |le |les |aux |depuis le |et au )?(?:versets?\s+(\d{1,3})|(premier)\s+verset|verset\s+(premier)))"
-_T_FR = r"(?:\s*(?:[-–—]|à|au verset|jusqu['’]au verset)\s*(\d{1,3})(?![:.]?\d))?(?:(?:\s+et\s+|,)(\d{1,3})(?![:.]?\d))?"
+    def _book(self, lo: int, hi: int) -> str | None:
+        """The book whose full name, numeral included, are exactly the pieces ``lo..hi``."""
+        raw = " ".join(self.key[lo:hi])
+        book = book_forms(self.lang).get(raw)
+        if not book or (raw not in self.names and re.sub(r"^\S+ ", "", _key(book)) != re.sub(r"^\S+ ", "", raw)):
+            return None
+        capital = self.text[self.span[lo][0]].isupper() or self.text[self.span[lo][0]].isdigit()
+        return book if self.lang == "fr" or capital else None
+
+    def book_before(self, end: int) -> tuple[str, int] | None:
+        """The longest book name that ends just before a piece, and where it begins."""
+        for n in (4, 3, 2, 1):
+            if end - n >= 0 and (book := self._book(end - n, end)):
+                return book, end - n
+        return None
+
+    def book_after(self, start: int) -> tuple[str, int] | None:
+        for n in (4, 3, 2, 1):
+            if start + n <= len(self.key) and (book := self._book(start, start + n)):
+                if self.at(start + n) in ("-", "'", "’") and self.span[start + n][0] == self.span[start + n - 1][1]:
+                    return None  # a longer name: Jean-Baptiste
+                return book, start + n
+        return None
 
 
-def _verses(start, end, more) -> list[tuple[int, int | None]]:
-    if start is None:
-        return []
-    a = int(start)
-    out = [(a, int(end) if end and int(end) > a else None)]
-    return out + ([(int(more), None)] if more else [])
+_LINK_FR = frozenset("de du des la le l d aux selon livre epitre evangile ' ’".split())
+_FILL_FR = frozenset(", ( a partir du de des depuis le la les au aux et".split())
+
+
+def _verses_after_fr(p: _Said, k: int) -> tuple[list[tuple[int, int | None]], int]:
+    """Verses said from a piece on, and the piece after them."""
+    start, first = k, None
+    if p.at(k) in (":", ".") and p.number(k + 1) is not None and (p.at(k) == ":" or p.span[k][1] == p.span[k + 1][0]):
+        first, k = p.number(k + 1), k + 2
+    else:
+        while k - start < 5 and p.at(k) in _FILL_FR:
+            k += 1
+        if p.at(k) in ("verset", "versets"):
+            first = 1 if p.at(k + 1) == "premier" else p.number(k + 1)
+            k += 2
+        elif p.at(k) == "premier" and p.at(k + 1) == "verset":
+            first, k = 1, k + 2
+    if first is None:
+        return [], start
+    last, more = None, None
+    ahead = k + (2 if p.at(k) in ("au", "jusqu") and p.at(k + 1) == "verset" else 4 if p.at(k) == "jusqu" and p.at(k + 3) == "verset" else 1 if p.at(k) in ("-", "–", "—", "a") else 0)
+    if ahead > k and p.number(ahead) is not None and not (p.at(ahead + 1) in (":", ".") and p.number(ahead + 2) is not None):
+        last, k = p.number(ahead), ahead + 1
+    if p.at(k) in ("et", ",") and p.number(k + 1) is not None and not p.book_after(k + 1) and not (p.at(k + 2) in (":", ".") and p.number(k + 3) is not None):
+        more, k = p.number(k + 1), k + 2
+    spans = [(first, last if last and last > first else None)]
+    return spans + ([(more, None)] if more else []), k
+
+
+def _verses_before_fr(p: _Said, k: int) -> tuple[list[tuple[int, int | None]], int]:
+    """Verses said just before "du chapitre", and the piece where that begins."""
+    if p.at(k - 1) != "du":
+        return [], k
+    v = next((j for j in range(k - 2, max(-1, k - 10), -1) if p.at(j) in ("verset", "versets")), None)
+    if v is None:
+        return [], k
+    said = p.key[v + 1 : k - 1]
+    if not said:
+        if p.at(v - 1) == "premier":
+            return [(1, None)], v - 1
+        return ([(p.number(v - 2), None)], v - 2) if p.at(v - 1) in ("e", "eme") and p.number(v - 2) is not None else ([], k)
+    if not all(x.isdigit() or x in ("a", "-", "–", "et") for x in said) or not said[0].isdigit():
+        return [], k
+    spans: list[tuple[int, int | None]] = [(int(said[0]), None)]
+    for sign, n in zip(said[1::2], said[2::2]):
+        spans = [*spans[:-1], (spans[-1][0], int(n))] if sign != "et" else [*spans, (int(n), None)]
+    return spans, v
 
 
 def _spoken_fr(text: str) -> Iterator[tuple[int, str, str]]:
     """"Luc chapitre 18 verset 9", "le verset 15 du chapitre 3 de la Genèse"."""
     if "chapitre" not in text.lower():
         return
-    book = _full("fr")
-    for m in re.finditer(rf"(?<!\w)({book}),?\s+(?:au\s+|le\s+)?chapitre\s+(\d{{1,3}})(?!\d)(?:{_V_FR}{_T_FR})?", text, re.I):
-        name, v = _named(m[1], "fr"), m[3] or m[4] or ("1" if m[5] or m[6] else None)
-        verses = _verses(v, m[7] if v else None, m[8] if v else None)
-        if name and possible(name, int(m[2]), verses):
-            yield m.start(), m[0], render(name, int(m[2]), verses) if verses else _quoted(text, m.end(), name, int(m[2]), "fr")
-    before = r"(?:(?:(?:le|au|du|les|aux)\s+)?(?:(premier)\s+verset|(\d{1,3})(?:e|ème|eme)\s+verset|versets?\s+(\d{1,3})(?:\s*(?:[-–—]|à)\s*(\d{1,3}))?(?:\s+et\s+(\d{1,3}))?)\s+du\s+)?"
-    for m in re.finditer(rf"{before}chapitre\s+(\d{{1,3}})(?!\d)\s+(?:du livre\s+|de l['’]\s*(?:[ée]p[iî]tre|[ée]vangile)\s+)?(?:de la\s+|de l['’]\s*|des\s+|de\s+|d['’]\s*|aux\s+|selon\s+)({book})(?![\w'’-])(?:{_V_FR}{_T_FR})?", text, re.I):
-        name = _named(m[7], "fr")
-        first = m[3] or m[2] or ("1" if m[1] else None)
-        if first:
-            verses = _verses(first, m[4], m[5])
-        else:
-            after = m[8] or m[9] or ("1" if m[10] or m[11] else None)
-            verses = _verses(after, m[12] if after else None, m[13] if after else None)
-        if name and possible(name, int(m[6]), verses):
-            yield m.start(), m[0], render(name, int(m[6]), verses)
+    p = _Said(text, "fr")
+    for k, word in enumerate(p.key):
+        chapter = p.number(k + 1) if word == "chapitre" else None
+        if chapter is None:
+            continue
+        verses, end = _verses_after_fr(p, k + 2)
+        back = k
+        while p.at(back - 1) in ("au", "le", ","):
+            back -= 1
+        hit = p.book_before(back)
+        begin = hit[1] if hit else k
+        if not hit:
+            ahead = end
+            while p.at(ahead) in _LINK_FR and ahead - end < 6:
+                ahead += 1
+            hit = p.book_after(ahead) if ahead > end else None
+            if not hit:
+                continue
+            end = hit[1]
+            before, start = _verses_before_fr(p, k)
+            if before:
+                verses, begin = before, start
+                while p.at(begin - 1) in ("le", "au", "du", "les", "aux"):
+                    begin -= 1
+            elif not verses:
+                verses, end = _verses_after_fr(p, end)
+        lo, hi = p.span[begin][0], p.span[end - 1][1]
+        if possible(hit[0], chapter, verses):
+            yield lo, text[lo:hi], render(hit[0], chapter, verses) if verses else _quoted(text, hi, hit[0], chapter, "fr")
+
+
+_SUFFIX_EN = ("st", "nd", "rd", "th")
 
 
 def _spoken_en(text: str) -> Iterator[tuple[int, str, str]]:
     """"Saint John the 4th chapter, the 23rd verse", "the 20th chapter of Numbers"."""
     if "chapter" not in text.lower():
         return
-    book, n = _full("en"), r"(\d{1,3})(?:st|nd|rd|th)"
-    verses = r"((?:,?\s+(?:and\s+)?(?:[Tt]he\s+)?\d{1,3}(?:st|nd|rd|th)(?:\s+[Vv]erses?)?)+\s*)?"
-    for m in re.finditer(rf"(?<!\w)({book})(?:['’]s\s+Gospel)?(?:,|\s+and)?\s+(?:[Tt]he\s+)?{n}\s+[Cc]hapter{verses}", text):
-        yield from _said(m, m[1], m[2], m[3])
-    for m in re.finditer(rf"[Tt]he\s+{n}\s+[Cc]hapter\s+of\s+({book})(?:-[….]*\s*of\s+({book}))?(?!\w){verses}", text):
-        yield from _said(m, m[3] or m[2], m[1], m[4])
-
-
-def _said(m: re.Match, raw: str, chapter: str, more: str | None) -> Iterator[tuple[int, str, str]]:
-    name = _named(raw, "en")
-    spans = [(int(v), None) for v in re.findall(r"\d+", more or "")] if more and "erse" in more else []
-    if name and (raw[:1] in "123" or raw[:1].isupper()) and possible(name, int(chapter), spans, "en"):
-        yield m.start(), m[0].rstrip(), render(name, int(chapter), spans)
+    p = _Said(text, "en")
+    for k, word in enumerate(p.key):
+        if word != "chapter" or p.at(k - 1) not in _SUFFIX_EN or p.number(k - 2) is None:
+            continue
+        chapter, begin, end = p.number(k - 2), k - 2, k + 1
+        back = begin
+        while p.at(back - 1) in ("the", "and", ","):
+            back -= 1
+        if p.at(back - 1) == "gospel":
+            back -= 3  # John's Gospel
+        hit = p.book_before(back)
+        if hit:
+            begin = hit[1]
+        elif p.at(end) == "of":
+            hit = p.book_after(end + 1)
+            again = next((j for j in range(end + 2, end + 7) if p.at(j) == "of"), None)
+            if again and not hit:  # a name cut off and said again
+                hit = p.book_after(again + 1)
+            if hit:
+                end = hit[1]
+                begin -= p.at(begin - 1) == "the"
+        if not hit:
+            continue
+        numbers, j = [], end
+        while j - end < 24 and (p.at(j) in ("the", "and", ",", "verse", "verses", *_SUFFIX_EN) or p.number(j) is not None):
+            if p.number(j) is not None and p.at(j + 1) in _SUFFIX_EN:
+                numbers.append(j)
+            j += 1
+        said = [q for q in range(end, j) if p.at(q) in ("verse", "verses")]
+        spans = [(p.number(q), None) for q in numbers if said and q < said[-1]]
+        if spans:
+            end = said[-1] + 1
+        lo, hi = p.span[begin][0], p.span[end - 1][1]
+        if possible(hit[0], chapter, spans, "en"):
+            yield lo, text[lo:hi], render(hit[0], chapter, spans)
 
 
 CITATION = ArrayType(StructType([StructField("index", IntegerType()), StructField("text", StringType()), StructField("ref", StringType())]))

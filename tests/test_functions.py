@@ -12,7 +12,12 @@ FRENCH = [
     ("Éphésiens 5.2 et 2 Timothée 1:3", ["Éphésiens 5:2", "2 Timothée 1:3"]), ("1Cor 5:20-21", ["1 Corinthiens 5:20-21"]), ("Première Corinthiens 5:20", ["1 Corinthiens 5:20"]),
     ("Matthieu 13 :\n\n> **41** Le Fils **42** et **43** Alors", ["Matthieu 13:41-43"]), ("![x](data:Mt7 Mt 7:1)", []), ("", []),
 ]
-ENGLISH = [("Matt 24:6", ["Matthew 24:6"]), ("First Corinthians 5, 20-21", ["1 Corinthians 5:20-21"]), ("Saint John the 4th chapter, the 23rd verse", ["John 4:23"]), ("my job 9", []), ("In the 20th chapter of Numbers.", ["Numbers 20"]), ("Hebrews 13:12 and 13", ["Hebrews 13:12,13"])]
+SPOKEN = [
+    ("2 Corinthiens, chapitre 3", ["2 Corinthiens 3"]), ("chapitre 3.20-23 des Actes", ["Actes 3:20-23"]), ("le premier verset du chapitre 6 de Matthieu", ["Matthieu 6:1"]), ("les versets 15 à 27 du chapitre 2 de l’épître aux Romains", ["Romains 2:15-27"]),
+    ("Luc au chapitre 18, à partir du verset 9", ["Luc 18:9"]), ("le 3ème verset du chapitre 4 de Jean", ["Jean 4:3"]), ("Jean chapitre 3, versets 12 et 15", ["Jean 3:12,15"]), ("on a lu le chapitre 11", []), ("chapitre 17 de Jean-Baptiste", []), ("Genèse chapitre 1 du verset 1 au verset 6", ["Genèse 1:1-6"]), ("chapitre", []), ("chapitre 5", []),
+]
+FRENCH += SPOKEN
+ENGLISH = [("First John, 1st chapter", ["1 John 1"]), ("the 13th chapter of Ex-…of Genesis", ["Genesis 13"]), ("John the 3rd chapter, the 3rd and 4th verses", ["John 3:3,4"]), ("the 4th chapter of Ephesians, 34th verse and 35th verse", ["Ephesians 4:34,35"]), ("Matt 24:6", ["Matthew 24:6"]), ("First Corinthians 5, 20-21", ["1 Corinthians 5:20-21"]), ("Saint John the 4th chapter, the 23rd verse", ["John 4:23"]), ("my job 9", []), ("In the 20th chapter of Numbers.", ["Numbers 20"]), ("Hebrews 13:12 and 13", ["Hebrews 13:12,13"])]
 
 
 @pytest.mark.parametrize("text,want", FRENCH)
