@@ -54,9 +54,11 @@ def bm25(docs: DataFrame, id_col: str, text_col: str, terms: list[str], every: b
     """``(id, score)`` of documents with any (or every) term; only the query's postings are built."""
     terms = list(dict.fromkeys(terms))
     texts = spread(docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-    base = texts.select("id", tokens(F.col("text")).alias("t"))
-    base = base.select("id", F.size("t").alias("len"), F.array(*[F.struct(F.lit(q).alias("term"), (F.size("t") - F.size(F.array_remove("t", q))).alias("tf")) for q in terms]).alias("hits")).where("len > 0")
-    base = write_table(base, "hits")  # texts are tokenised once for the statistics and the scores
+    # inside a lambda the tokens are one value, made once; as a column they would be made anew for every use
+    counted = lambda t: F.struct(F.size(t).alias("len"), F.array(*[F.struct(F.lit(q).alias("term"), (F.size(t) - F.size(F.array_remove(t, q))).alias("tf")) for q in terms]).alias("hits"))
+    base = texts.select("id", F.transform(F.array(tokens(F.col("text"))), counted)[0].alias("c"))
+    # texts are tokenised once for the statistics and the scores; no filter is pushed below that
+    base = write_table(base, "hits").select("id", "c.len", "c.hits").where("len > 0")
     stats = base.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"), *[F.count_if(F.col("hits")[k]["tf"] > 0).alias(f"df{k}") for k in range(len(terms))])
     rows = base.where(F.exists("hits", lambda h: h["tf"] > 0)).crossJoin(F.broadcast(stats))  # one row on the right
     score = F.lit(0.0)
