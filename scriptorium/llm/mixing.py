@@ -30,7 +30,7 @@ SAMPLE = 20_000
 FEATURE_BITS = 14
 GRAIN = 8
 BINS = 1024
-LEAST_FILL = 0.25
+LEAST_FILL = 0.1
 
 
 def _features(text: str | None, extra: list[str | None]) -> np.ndarray:
