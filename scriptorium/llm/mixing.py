@@ -142,6 +142,12 @@ def _fill(row: np.ndarray, part: float) -> np.ndarray:
     return taken
 
 
+def _repeated(held: DataFrame, rules: list[tuple[list[int], int, list[bool]]]) -> DataFrame:
+    """``held`` with the repeats that the rules ``(grains, whole, bins once more)`` give; their number is bounded."""
+    rule = held.sparkSession.createDataFrame(rules, "grains array<int>, whole int, more array<boolean>")
+    return held.join(F.broadcast(rule), "grains").withColumn("repeats", F.col("whole") + F.get("more", F.col("bin")).cast("int"))
+
+
 _REPORT = "source string, target_share double, max_repeats int, tokens_wanted double, n_documents long, n_used long, tokens_there long, tokens double, most_repeats int, actual_share double"
 
 
@@ -168,21 +174,21 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     sums = held.groupBy("grains").agg(F.sum("n_tokens").alias("t")).orderBy("grains").collect()
     grains = np.array([r.grains for r in sums]).reshape(len(sums), len(names))
     rate, want = fit_rates(grains, np.array([r.t for r in sums], float), shares, caps, least_fill) if sums else (np.zeros(0), np.zeros(len(names)))
+    rules = [(g, int(np.floor(x)), (np.arange(BINS) < round((x - np.floor(x)) * BINS)).tolist()) for g, x in zip(grains.tolist(), rate.tolist()) if max(g) < GRAIN]
+    # what the documents of several sources really give to each; the others fill up the rest
+    mixed = _repeated(held.where("source is null and array_max(grains) < " + str(GRAIN)), rules)
+    given = {r.k: r.t for r in mixed.select(F.posexplode("grains").alias("k", "g"), (F.col("n_tokens") * F.col("repeats")).alias("t")).groupBy("k").agg((F.sum(F.col("g") * F.col("t")) / GRAIN).alias("t")).collect()}
     # a bounded table: the tokens of each bin of each source
-    bins = held.where("source is not null").groupBy("source", "bin").agg(F.sum("n_tokens").alias("t")).collect()
+    sure = held.where("array_max(grains) = " + str(GRAIN)).select((F.array_position("grains", GRAIN) - 1).cast("int").alias("k"), "bin", "n_tokens")
     table = np.zeros((len(names), BINS))
-    for r in bins:
-        table[names.index(r.source), r.bin] = r.t
-    soft = {tuple(g): float(x) for g, x in zip(grains.tolist(), rate)}
-    rules = []
-    for g, x in soft.items():
-        if max(g) == GRAIN and (row := table[g.index(GRAIN)]).sum():
-            once_more = _fill(row, (x - np.floor(x)) * row.sum())
-        else:
-            once_more = np.arange(BINS) < round((x - np.floor(x)) * BINS)
-        rules.append((list(g), int(np.floor(x)), once_more.tolist()))
-    rule = spark.createDataFrame(rules, "grains array<int>, whole int, more array<boolean>")
-    used = held.join(F.broadcast(rule), "grains").withColumn("repeats", F.col("whole") + F.get("more", F.col("bin")).cast("int"))
+    for r in sure.groupBy("k", "bin").agg(F.sum("n_tokens").alias("t")).collect():
+        table[r.k, r.bin] = r.t
+    for k, row in enumerate(table):
+        if (all_ := row.sum()) > 0:
+            part = min(max(want[k] - given.get(k, 0.0), 0.0), caps[k] * all_)
+            whole = int(part // all_)
+            rules.append(([GRAIN * (j == k) for j in range(len(names))], whole, _fill(row, part - whole * all_).tolist()))
+    used = _repeated(held, rules)
     named = F.array(*[F.lit(n) for n in names])
     best = F.element_at(named, F.array_position("grains", F.array_max("grains")).cast("int"))
     used = used.select("id", F.coalesce("source", best).alias("source"), F.col("source").isNull().alias("predicted"), "grains", "n_tokens", "repeats")
