@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import align, norm, refs, similarity
 from ..functions import text as tx
 from ..operators import linkage, search
 from ..shared import spread, write_table
-from .registry import VISIBLE, WORKS, query
+from .registry import WORKS, query
 
 
 @query(f"WITH {WORKS}, m AS (SELECT path, max(file_hash) AS file_hash, max(size_bytes) AS size_bytes FROM manifest WHERE path IS NOT NULL GROUP BY 1) SELECT w.path, w.title, m.file_hash, m.size_bytes FROM works w LEFT JOIN m ON m.path = w.path")

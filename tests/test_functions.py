@@ -1,4 +1,3 @@
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
