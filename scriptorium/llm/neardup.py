@@ -157,10 +157,12 @@ class Forest:
         self._pages(bits, level)
         rank = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
         tree = np.repeat(np.arange(len(count)), count)
-        narrow = self._narrow(bits, level)[doc]
+        narrow = self._narrow(bits, level)
         low = high = n[doc]
-        slack = (n - np.bitwise_count(self._narrow(bits, level)).sum(1, dtype=np.int64))[doc]
-        self.low, self.high, self.slack, self.sig, self.child = [low], [high], [slack], [narrow], []
+        half = n - np.bitwise_count(self._half(narrow)).sum(1, dtype=np.int64)
+        # a repeated bitmap has as many members without a bit of their own as at its own width
+        slack = np.where(level < 8, half, n - np.bitwise_count(narrow).sum(1, dtype=np.int64))
+        self.low, self.high, self.slack, self.half, self.sig, self.child = [low], [high], [slack[doc]], [half[doc]], [narrow[doc]], []
         step = 1
         while len(tree) > len(count):
             node = np.flatnonzero(np.r_[True, (tree[1:] != tree[:-1]) | (rank[1:] // FAN != rank[:-1] // FAN)])
@@ -168,6 +170,7 @@ class Forest:
             self.low.append(np.minimum.reduceat(self.low[-1], node))
             self.high.append(np.maximum.reduceat(self.high[-1], node))
             self.slack.append(np.maximum.reduceat(self.slack[-1], node))
+            self.half.append(np.maximum.reduceat(self.half[-1], node))
             self.sig.append(np.bitwise_or.reduceat(self.sig[-1], node, axis=0))
             tree, rank, step = tree[node], rank[node] // FAN, step + 1
 
@@ -184,6 +187,11 @@ class Forest:
                 out[at] = np.tile(x, (1, out.shape[1] // x.shape[1]))
         return out
 
+    @staticmethod
+    def _half(sig: np.ndarray) -> np.ndarray:
+        """Bitmaps folded to half their width, which undoes the repetition of narrow ones."""
+        return sig[:, : sig.shape[1] // 2] | sig[:, sig.shape[1] // 2 :]
+
     def _pages(self, bits: list[np.ndarray], level: np.ndarray) -> None:
         """For each width the bitmaps of that width and of the next wider one, folded; sizes in a pair never differ by more."""
         self.level, self.page, self.row = level, {}, {}
@@ -202,8 +210,11 @@ class Forest:
         ok = (self.high[depth][a] >= self.ratio * self.low[depth][b] - 1e-9) & (self.high[depth][b] >= self.ratio * self.low[depth][a] - 1e-9)
         at = np.flatnonzero(ok)
         a, b = a[at], b[at]
-        overlap = np.bitwise_count(self.sig[depth][a] & self.sig[depth][b]).sum(1, dtype=np.int64) + np.minimum(self.slack[depth][a], self.slack[depth][b])
-        return at[overlap >= self.t * (self.low[depth][a] + self.low[depth][b]) - 1e-9]
+        x, y = self.sig[depth][a], self.sig[depth][b]
+        # two bounds, at full and at half width: members in shared bits, and those that share a bit with others
+        full = np.bitwise_count(x & y).sum(1, dtype=np.int64) + np.minimum(self.slack[depth][a], self.slack[depth][b])
+        half = np.bitwise_count(self._half(x) & self._half(y)).sum(1, dtype=np.int64) + np.minimum(self.half[depth][a], self.half[depth][b])
+        return at[np.minimum(full, half) >= self.t * (self.low[depth][a] + self.low[depth][b]) - 1e-9]
 
     def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Pairs of entries that pass the bound of their own bitmaps, as pairs of documents."""

@@ -89,3 +89,20 @@ def test_bitmap_bound_never_prunes_a_match():
         x, y = x.reshape(-1, m).max(0), y.reshape(-1, m).max(0)
         bound = min(n[0] - (x & (1 - y)).sum(), n[1] - (y & (1 - x)).sum())
         assert len(np.intersect1d(a, b)) <= bound
+
+
+@pytest.mark.parametrize("low,high", [(85, 100), (40, 60), (60, 130)])
+def test_many_revisions_of_one_short_text(spark, low, high):
+    """More revisions than a node holds, around the size at which the width of bitmaps changes."""
+    rng = random.Random(low)
+    base = [f"w{k}" for k in range(high + 2)]
+    texts = []
+    for k in range(70):
+        w = base[: rng.randint(low, high) + 2]
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(40)}"
+        texts.append((k, " ".join(w)))
+    members, links = neardup.near_duplicates(spark.createDataFrame(texts, "id long, text string"), "id", "text", 0.6, 3, 30)
+    got = [tuple(r) for r in neardup.expand(members, links).collect()]
+    want = brute(texts, 3, 30, 0.6)
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 400
