@@ -71,10 +71,15 @@ def bm25(docs: DataFrame, id_col: str, text_col: str, terms: list[str], every: b
     return rows.select("id", score.alias("score"))
 
 
+def whole_words(terms: list[str]) -> str:
+    """Pattern of whole words, whatever their case; letters and marks of every script are parts of words."""
+    alt = "|".join(re.escape(t) for t in terms)
+    return rf"(?iu)(?<![\p{{L}}\p{{M}}\p{{N}}_])({alt})(?![\p{{L}}\p{{M}}\p{{N}}_])"
+
+
 def highlight(c: Column, terms: list[str], sign: str = "**") -> Column:
     """Whole words of the query between signs, whatever their case."""
-    alt = "|".join(re.escape(t) for t in terms)
-    return F.regexp_replace(c, rf"(?iu)\b({alt})\b", f"{sign}$1{sign}")
+    return F.regexp_replace(c, whole_words(terms), f"{sign}$1{sign}")
 
 
 #: Query vectors that are compared with all rows in one pass; bounds what is sent to the workers.

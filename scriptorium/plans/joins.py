@@ -464,6 +464,13 @@ def fts_highlight(t):
     return d.select("doc_id", search.highlight(F.col("text"), ["lumi", "berger"]).alias("text"))
 
 
+@query()
+def fts_highlight_all(t):
+    """All documents that hold the word, with accents too, where the SQL of ``fts_highlight`` does not go."""
+    d = t.documents.where(F.col("text").rlike(search.whole_words(["berger"])))
+    return d.select("doc_id", search.highlight(F.col("text"), ["lumi", "berger"]).alias("text"))
+
+
 @query()
 def fts_site_search(t):
     return search.site_search(t.documents, "doc_id", "text", ["lumiere", "berger"], {"lang": "fr", "source": "mevar"}).select("id", F.round("score", 6).alias("score"), "rank")

@@ -1,7 +1,10 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.operators import linkage, merge, quality, search, windows
+from scriptorium.plans import catalogue
 from scriptorium.sources import files
 from scriptorium.streaming import progress
 
@@ -149,3 +152,23 @@ def test_cosine_in_blocks(spark):
     plain = lambda df: sorted((r.query, r.id, r["rank"], round(r.score, 9)) for r in df.collect())
     assert plain(search.cosine_top(e, q, 5, block=3)) == plain(search.cosine_top(e, q, 5))
     assert search.cosine_top(e, q.limit(0), 5).isEmpty()
+
+
+def test_highlight_of_texts_with_accents(spark, tmp_path):
+    texts = ["Le berger éclairé, BERGER!", "bergère et éberger", "l’été du berger_x", "bergeŕ", "« Berger » lumi lumière", "plain berger", None, "", "né\nberger"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def words(x):
+        parts, at = [], 0
+        while at < len(x):
+            end = at
+            while end < len(x) and (x[end] == "_" or unicodedata.category(x[end])[0] in "LMN"):
+                end += 1
+            end = max(end, at + 1)
+            parts.append(x[at:end])
+            at = end
+        return parts
+
+    want = {k: "".join(f"**{w}**" if w.lower() in ("lumi", "berger") else w for w in words(x)) for k, x in enumerate(texts) if x and "berger" in map(str.lower, words(x))}
+    assert {r.doc_id: r.text for r in catalogue.QUERIES["fts_highlight_all"](spark, str(tmp_path)).collect()} == want
+    assert set(want) == {0, 4, 5, 8}
