@@ -8,6 +8,7 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,13 +24,48 @@ def fold(s: str) -> str:
     return plain.replace("œ", "oe").replace("æ", "ae").replace("’", "'")
 
 
+class Places:
+    """Places of short word sequences in a source, looked up by their folded words."""
+
+    def __init__(self, source: list[str]):
+        self.words = [fold(w) for w in source]
+        self.at: dict[int, dict[tuple[str, ...], list[int]]] = {}
+
+    def _of(self, gram: list[str]) -> list[int]:
+        n = len(gram)
+        if n not in self.at:
+            self.at[n] = {}
+            for k in range(len(self.words) - n + 1):
+                self.at[n].setdefault(tuple(self.words[k : k + n]), []).append(k)
+        return self.at[n].get(tuple(gram), [])
+
+    def between(self, before: list[str], after: list[str]) -> tuple[int, int] | None:
+        b, a = [fold(w) for w in before[-2:]], [fold(w) for w in after[:3]]
+        ends, found = self._of(a), None
+        for k in self._of(b) if ends else []:
+            s = k + len(b)
+            for e in ends[bisect_left(ends, s) : bisect_right(ends, s + 12)]:
+                if found:
+                    return None
+                found = (s, e)
+        return found
+
+
 def anchor(before: list[str], after: list[str], source: list[str]) -> tuple[int, int] | None:
     """The words of ``source`` between the two words before and the three after, if they stand there exactly once."""
-    b, a = [fold(w) for w in before[-2:]], [fold(w) for w in after[:3]]
-    words = [fold(w) for w in source]
-    starts = [k + len(b) for k in range(len(words) - len(b) + 1) if words[k : k + len(b)] == b]
-    found = [(s, e) for s in starts for e in range(s, min(s + 12, len(words) - len(a)) + 1) if words[e : e + len(a)] == a]
-    return found[0] if len(found) == 1 else None
+    return Places(source).between(before, after)
+
+
+def anchored(text: list[str], source: list[str]) -> int:
+    """How many words of a text, all but its first two and last three, are located in its source by their neighbours."""
+    places = Places(source)
+    return sum(places.between(text[k - 2 : k], text[k + 1 : k + 4]) is not None for k in range(2, len(text) - 3))
+
+
+def differing(text: list[str], source: list[str]) -> list[int]:
+    """Positions of a text off a longest common subsequence of its words and the source's."""
+    same = {i for i, _ in _common(text, source)}
+    return [k for k in range(len(text)) if k not in same]
 
 
 def restore_spots(text: list[str], spots: list[int], source: list[str]) -> tuple[list[str], list[int]]:
@@ -38,11 +74,14 @@ def restore_spots(text: list[str], spots: list[int], source: list[str]) -> tuple
     Passes go on until none changes anything, as a restored word may anchor its neighbour; a place of the source that
     two spots claim confirms neither.
     """
-    text, left = list(text), list(spots)
+    text, left, places = list(text), list(spots), Places(source)
+    hits: dict[int, tuple[int, int] | None] = {}
     while True:
         claims: dict[tuple[int, int], list[int]] = {}
         for s in left:
-            hit = anchor(text[max(0, s - 2) : s], text[s + 1 : s + 4], source)
+            if s not in hits:
+                hits[s] = places.between(text[max(0, s - 2) : s], text[s + 1 : s + 4])
+            hit = hits[s]
             if hit and hit[1] - hit[0] == 1:
                 claims.setdefault(hit, []).append(s)
         sure = {s[0]: hit for hit, s in claims.items() if len(s) == 1}
@@ -51,6 +90,8 @@ def restore_spots(text: list[str], spots: list[int], source: list[str]) -> tuple
             return text, left
         for s, w in changed.items():
             text[s] = w
+            for k in range(s - 3, s + 3):
+                hits.pop(k, None)
         left = [s for s in left if s not in changed]
 
 
@@ -86,26 +127,57 @@ def restore_words(text: str, source: str, most: int = 3) -> str:
     return text
 
 
-def common_letters(a: str, b: str) -> list[tuple[int, int]]:
-    """Index pairs of a longest common subsequence of the letters of two short texts."""
-    x, y = [k for k, c in enumerate(a) if c.isalpha()], [k for k, c in enumerate(b) if c.isalpha()]
+def _rows(x: list, masks: dict, width: int, row: int) -> Iterator[int]:
+    """Rows of the table of common lengths before each of ``x`` and after the last; a zero bit is a step by one."""
+    full = (1 << width) - 1
+    for c in x:
+        yield row
+        u = row & masks.get(c, 0)
+        row = ((row + u) | (row - u)) & full
+    yield row
+
+
+def _common(x: list, y: list) -> list[tuple[int, int]]:
+    """Index pairs of a longest common subsequence.
+
+    A row of the table is one integer of ``len(y)`` bits, from the end of both lists; every row of a stretch is kept
+    at a time, of the others only each stretch's first, so the store grows by the root of ``len(x)``.
+    """
     n, m = len(x), len(y)
-    t = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            t[i][j] = t[i + 1][j + 1] + 1 if fold(a[x[i]]) == fold(b[y[j]]) else max(t[i + 1][j], t[i][j + 1])
+    masks: dict = {}
+    for j, c in enumerate(y):
+        masks[c] = masks.get(c, 0) | 1 << (m - 1 - j)
+    step = max(1, int(n**0.5))
+    back = x[::-1]
+    starts = [r for k, r in enumerate(_rows(back, masks, m, (1 << m) - 1)) if k % step == 0]
+    block, rows = -1, []
+
+    def length(i: int, j: int) -> int:
+        nonlocal block, rows
+        k = n - i
+        if not block * step <= k <= block * step + step or block < 0:
+            block = (k - 1) // step if k else 0
+            rows = list(_rows(back[block * step : block * step + step], masks, m, starts[block]))
+        return m - j - (rows[k - block * step] & ((1 << (m - j)) - 1)).bit_count()
+
     out, i, j = [], 0, 0
     while i < n and j < m:
-        if fold(a[x[i]]) == fold(b[y[j]]):
-            out.append((x[i], y[j]))
+        if x[i] == y[j]:
+            out.append((i, j))
             i, j = i + 1, j + 1
-        elif t[i + 1][j] >= t[i][j + 1]:
+        elif length(i + 1, j) >= length(i, j + 1):
             i += 1
         else:
             j += 1
     return out
 
 
+def common_letters(a: str, b: str) -> list[tuple[int, int]]:
+    """Index pairs of a longest common subsequence of the letters of two texts."""
+    x, y = [k for k, c in enumerate(a) if c.isalpha()], [k for k, c in enumerate(b) if c.isalpha()]
+    return [(x[i], y[j]) for i, j in _common([fold(a[k]) for k in x], [fold(b[k]) for k in y])]
+
+
 def with_signs(letters: str, signed: str) -> str:
     """``letters`` with the punctuation that follows the same letters in ``signed``."""
     after: dict[int, str] = {}

@@ -227,14 +227,14 @@ def _per_pair(f, kind: str):
     return run
 
 
-def _anchored(a: str, b: str) -> int:
-    """How many of the first words of a text are located in its source by their neighbours."""
-    x, y = a.split()[:60], b.split()[:200]
-    return sum(align.anchor(x[max(0, k - 2) : k], x[k + 1 : k + 4], y) is not None for k in range(2, len(x) - 3))
+def _unresolved(a: str, b: str) -> int:
+    """How many of the words that differ from the source are not restored from it."""
+    x, y = a.split(), b.split()
+    return len(align.restore_spots(x, align.differing(x, y), y)[1])
 
 
-query(name="align_anchor")(lambda t: _copies(t).select("md_id", _per_pair(_anchored, "int")("body", "source").alias("anchored")))
-query(name="align_fixpoint")(lambda t: _copies(t).select("md_id", _per_pair(lambda a, b: len(align.restore_spots(a.split()[:60], [5, 6, 7], b.split()[:200])[1]), "int")("body", "source").alias("unresolved")))
+query(name="align_anchor")(lambda t: _copies(t).select("md_id", _per_pair(lambda a, b: align.anchored(a.split(), b.split()), "int")("body", "source").alias("anchored")))
+query(name="align_fixpoint")(lambda t: _copies(t).select("md_id", _per_pair(_unresolved, "int")("body", "source").alias("unresolved")))
 
 
 @query("SELECT duplicate_of, count(*) AS claims FROM (SELECT DISTINCT record_id, duplicate_of FROM mevar_duplicates WHERE record_id <> duplicate_of) GROUP BY 1 HAVING count(*) = 1")
@@ -244,7 +244,7 @@ def align_claims(t):
     return linkage.one_to_one(d, "duplicate_of")[0].groupBy("duplicate_of").agg(F.count("*").alias("claims"))
 
 
-query(name="align_lcs")(lambda t: _copies(t).select("md_id", _per_pair(lambda a, b: len(align.common_letters(a[:300], b[:300])), "int")("body", "source").alias("letters")))
+query(name="align_lcs")(lambda t: _copies(t).select("md_id", _per_pair(lambda a, b: len(align.common_letters(a, b)), "int")("body", "source").alias("letters")))
 query(name="align_refs_guard")(lambda t: align.aligned(_copies(t).select(F.col("md_id").alias("id"), F.col("body").alias("text"), "source"), "words").select("id", F.size(refs.extract(F.col("text"))).alias("refs")))
 
 

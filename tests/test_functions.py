@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions import align, norm, refs, similarity
 from scriptorium.functions import text as tx
+from scriptorium.plans import catalogue
 
 FRENCH = [
     ("Mt 24:6", ["Matthieu 24:6"]), ("Math. 24, 6", ["Matthieu 24:6"]), ("Matth 24:5-7", ["Matthieu 24:5-7"]), ("Hébreux 8:13-13:8", ["Hébreux 8:13"]),
@@ -95,3 +98,46 @@ def test_similarity(spark):
     words = spark.createDataFrame([("un deux trois quatre cinq six".split(),), (["a"],)], "w array<string>")
     assert [len(r[0]) for r in words.select(similarity.shingles(F.col("w"), 5)).collect()] == [2, 0]
     assert one(spark, similarity.common_prefix, "L’Art", "l'arbre") == 4
+
+
+def test_whole_texts_are_aligned(spark, tmp_path):
+    """Everything of a text counts, however far from its start."""
+    source = [f"mot{k}" for k in range(400)]
+    one, two = list(source), list(source)
+    one[350] = "faux"
+    two[350:352] = ["faux", "faux"]
+    rows = [(0, "s", " ".join(source), None), (1, "a", " ".join(one), "s"), (2, "b", " ".join(two), "s")]
+    df = spark.createDataFrame(rows, "md_id long, path string, body string, duplicate_of string")
+    df.withColumn("ingested_at", F.current_timestamp()).write.parquet(f"{tmp_path}/markdown.parquet")
+    got = {q: dict(map(tuple, catalogue.QUERIES[q](spark, str(tmp_path)).collect())) for q in ("align_anchor", "align_fixpoint", "align_lcs")}
+    assert got["align_anchor"] == {1: 395 - 5, 2: 395 - 7}
+    assert got["align_fixpoint"] == {1: 0, 2: 2}
+    assert got["align_lcs"] == {k: longest([c for c in t if c.isalpha()], [c for c in rows[0][2] if c.isalpha()]) for k, t in ((1, rows[1][2]), (2, rows[2][2]))}
+
+
+def longest(x, y):
+    row = [0] * (len(y) + 1)
+    for a in x:
+        last = row
+        row = [0]
+        for j, b in enumerate(y):
+            row.append(last[j] + 1 if a == b else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def test_common_letters_are_the_longest():
+    rng = random.Random(3)
+    for n in (0, 1, 7, 40, 300):
+        a, b = ("".join(rng.choice("abcé, ") for _ in range(rng.randint(n // 2, n))) for _ in range(2))
+        got = align.common_letters(a, b)
+        assert got == sorted(got) and len({j for _, j in got}) == len(got) and all(align.fold(a[i]) == align.fold(b[j]) for i, j in got)
+        assert len(got) == longest([align.fold(c) for c in a if c.isalpha()], [align.fold(c) for c in b if c.isalpha()])
+
+
+def test_spots_restore_one_another_in_long_texts():
+    source = [f"m{k % 50}" if k % 3 else f"n{k}" for k in range(900)]
+    text = list(source)
+    for k in (500, 503, 506, 890):
+        text[k] = "?"
+    assert align.differing(text, source) == [500, 503, 506, 890]
+    assert align.restore_spots(text, align.differing(text, source), source) == (source, [])
