@@ -6,6 +6,8 @@ Pairs of texts are aligned one by one inside Arrow batches; the pairs come from
 from __future__ import annotations
 
 import difflib
+import functools
+import itertools
 import re
 import unicodedata
 from bisect import bisect_left, bisect_right
@@ -24,6 +26,9 @@ def fold(s: str) -> str:
     return plain.replace("œ", "oe").replace("æ", "ae").replace("’", "'")
 
 
+_letter = functools.lru_cache(1 << 16)(fold)
+
+
 class Places:
     """Places of short word sequences in a source, looked up by their folded words."""
 
@@ -143,7 +148,11 @@ def _common(x: list, y: list) -> list[tuple[int, int]]:
     A row of the table is one integer of ``len(y)`` bits, from the end of both lists; every row of a stretch is kept
     at a time, of the others only each stretch's first, so the store grows by the root of ``len(x)``.
     """
+    same = next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+    head, x, y = [(k, k) for k in range(same)], x[same:], y[same:]
     n, m = len(x), len(y)
+    if not n or not m:
+        return head
     masks: dict = {}
     for j, c in enumerate(y):
         masks[c] = masks.get(c, 0) | 1 << (m - 1 - j)
@@ -160,10 +169,10 @@ def _common(x: list, y: list) -> list[tuple[int, int]]:
             rows = list(_rows(back[block * step : block * step + step], masks, m, starts[block]))
         return m - j - (rows[k - block * step] & ((1 << (m - j)) - 1)).bit_count()
 
-    out, i, j = [], 0, 0
+    out, i, j = head, 0, 0
     while i < n and j < m:
         if x[i] == y[j]:
-            out.append((i, j))
+            out.append((i + same, j + same))
             i, j = i + 1, j + 1
         elif length(i + 1, j) >= length(i, j + 1):
             i += 1
@@ -175,17 +184,38 @@ def _common(x: list, y: list) -> list[tuple[int, int]]:
 def common_letters(a: str, b: str) -> list[tuple[int, int]]:
     """Index pairs of a longest common subsequence of the letters of two texts."""
     x, y = [k for k, c in enumerate(a) if c.isalpha()], [k for k, c in enumerate(b) if c.isalpha()]
-    return [(x[i], y[j]) for i, j in _common([fold(a[k]) for k in x], [fold(b[k]) for k in y])]
+    return [(x[i], y[j]) for i, j in _common([_letter(a[k]) for k in x], [_letter(b[k]) for k in y])]
+
+
+@functools.lru_cache(1 << 16)
+def _sounds(c: str) -> bool:
+    return c.isalnum() or unicodedata.category(c)[0] in "MN"
 
 
 def with_signs(letters: str, signed: str) -> str:
-    """``letters`` with the punctuation that follows the same letters in ``signed``."""
-    after: dict[int, str] = {}
-    for i, j in common_letters(letters, signed):
-        m = re.match(r"[^\w\s]+", signed[j + 1 :])
-        if m and not re.match(r"[^\w\s]", letters[i + 1 :]):
-            after[i] = m[0]
-    return "".join(c + after.get(k, "") for k, c in enumerate(letters))
+    """``letters`` with the signs that stand between the same letters and digits in ``signed``.
+
+    A gap of ``letters`` that has signs of its own stays; so does its white space where only the source has a line
+    break, and signs that stand at a line break of ``letters`` alone go before it.
+    """
+    x, y = ([k for k, c in enumerate(t) if _sounds(c)] for t in (letters, signed))
+    ends = [(-1, -1), *_common([_letter(letters[k]) for k in x], [_letter(signed[k]) for k in y]), (len(x), len(y))]
+    x, y = [*x, len(letters), -1], [*y, len(signed), -1]
+    out, at = [], 0
+    for (i, j), (k, m) in itertools.pairwise(ends):
+        if y[m] - y[j] == 1 or k - i != 1 or m - j != 1:
+            continue
+        lo, hi = x[i] + 1, x[k]
+        mine, theirs = letters[lo:hi], signed[y[j] + 1 : y[m]]
+        if mine.strip() or not theirs.strip():
+            continue
+        if "\n" in theirs and "\n" not in mine:
+            theirs = re.sub(r"\s*\n\s*", " " if mine else "", theirs)
+        elif "\n" in mine and "\n" not in theirs:
+            theirs = theirs.rstrip() + mine
+        out += [letters[at:lo], theirs]
+        at = hi
+    return "".join([*out, letters[at:]])
 
 
 def strip_headers(text: str, source: str, least: int = 3) -> str:

@@ -11,7 +11,7 @@ from .. import schemas
 from ..functions import align, norm, refs
 from ..functions import text as tx
 from ..operators import linkage, merge, quality
-from ..shared import shared_dir
+from ..shared import shared_dir, spread
 from ..sources import files
 from . import projections
 from .registry import ORACLES, VISIBLE, WORKS, query
@@ -139,6 +139,13 @@ def src_ocr_merge(t):
     return align.aligned(m.select(F.col("md_id").alias("id"), F.translate("title", "’,", "").alias("text"), F.col("title").alias("source")), "signs").select(F.col("id").alias("md_id"), "text")
 
 
+@query()
+def src_ocr_merge_all(t):
+    """Whole bodies without their signs, which come back from the text that has them."""
+    b = spread(t.markdown.where("body is not null").select(F.col("md_id").alias("id"), F.regexp_replace("body", r"[^\p{L}\p{M}\p{N}\p{Z}\s]", "").alias("text"), F.col("body").alias("source")))
+    return align.aligned(b, "signs").select(F.col("id").alias("md_id"), "text")
+
+
 @query("SELECT count(*) AS good, (SELECT count(*) FROM markdown WHERE body IS NULL) AS bad FROM markdown WHERE body IS NOT NULL")
 def src_llm_cache(t):
     at = _folder(t, "answers")

@@ -405,6 +405,9 @@ def txt_html_to_text(t):
     return d.select("doc_id", tx.html_to_text(F.col("text")).alias("text"))
 
 
+_rows_only("txt_html_to_text_all", lambda t: t.documents.where("text is not null").select("doc_id", tx.html_to_text(F.col("text")).alias("text")))
+
+
 @query("SELECT doc_id, regexp_replace(text, '\\.{8,}', '… ', 'g') AS text FROM documents WHERE text IS NOT NULL")
 def txt_dot_leaders(t):
     return t.documents.where("text is not null").select("doc_id", tx.dot_leaders(F.col("text")).alias("text"))

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +142,22 @@ def test_spots_restore_one_another_in_long_texts():
         text[k] = "?"
     assert align.differing(text, source) == [500, 503, 506, 890]
     assert align.restore_spots(text, align.differing(text, source), source) == (source, [])
+
+
+def test_signs_of_whole_texts():
+    for s in ("« Où ? », dit-il. — “Non!”", "(1963) : l’an 12, p. 7;", "a\n\n- b\n> **c** d…", "", "?!", "x" * 500 + ", y", "e\u0301, a\u0300!", "½, ²;"):
+        assert align.with_signs(re.sub(r"[^\w\s̀́]", "", s), s) == s
+    assert align.with_signs("un mot\nautre", "un mot, autre") == "un mot,\nautre"
+    assert align.with_signs("un mot autre", "un mot,\nautre") == "un mot, autre"
+    assert align.with_signs("un; mot", "un, mot!") == "un; mot!"
+    assert align.with_signs("un deux", "trois, quatre") == "un deux"
+
+
+def test_whole_bodies_and_pages(spark, tmp_path):
+    bodies = ["« Où ? », dit-il.", "L’an 1963 — “page” " * 20, "Ωμέγα,\u2003βήτα\u00a0!", None]
+    spark.createDataFrame(list(enumerate(bodies)), "md_id long, body string").write.parquet(f"{tmp_path}/markdown.parquet")
+    assert dict(map(tuple, catalogue.QUERIES["src_ocr_merge_all"](spark, str(tmp_path)).collect())) == {k: b for k, b in enumerate(bodies) if b}
+    pages = ["<p>a&amp;b</p>", "Ω <b>x</b>y &lt;i&gt; &amp;lt;", "<DIV\nclass='a'>œ — “q”</DIV>", "&nbsp;x&quot;&#39;&rsquo;", "", None]
+    spark.createDataFrame(list(enumerate(pages)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {0: "a&b", 1: "Ω xy <i> &lt;", 2: "œ — “q”", 3: "x\"'’", 4: ""}
+    assert dict(map(tuple, catalogue.QUERIES["txt_html_to_text_all"](spark, str(tmp_path)).collect())) == want
