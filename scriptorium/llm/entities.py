@@ -9,7 +9,8 @@ both its ends together is surely part of such an assignment and is taken at once
 components, each solved exactly.
 
 Scale.  Windows slide inside range partitions; the first and last rows of each partition are joined with those of its
-neighbour in a second, tiny step.  A key held by very many records makes a long partition, not a large window.
+neighbour in a second, tiny step.  A key held by very many records makes a long partition, not a large window; records
+of one key that do not fit in a window are compared all with all, in tiles of both sides spread over the tasks.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import difflib
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from datetime import date
@@ -32,6 +34,8 @@ from .components import connected_groups
 from .names import _fold, initials, near, place_key, readings
 
 WINDOW = 10
+#: Records of either side in one tile of a key that is held by more than a window of them, about.
+TILE = 256
 #: Evidence that a pair must have to be a match.
 ENOUGH = 5.0
 #: Known matches that the word translations are learned from, at most.
@@ -287,6 +291,17 @@ def _seam(lexicon, window: int):
     return run
 
 
+def _blocks(keyed: DataFrame, lexicon, window: int) -> DataFrame:
+    """Evidence of all pairs of equal keys that are held by more records than a window takes."""
+    sizes = keyed.groupBy("key").agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1")).where(f"n0 > 0 and n1 > 0 and n0 + n1 > {window}")
+    rows = keyed.join(sizes, "key")
+    tiles = [F.ceil(F.col(n) / TILE).cast("int") for n in ("n0", "n1")]
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("side") == 0, tiles[0]).otherwise(tiles[1])).cast("int")
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, tiles[1]).otherwise(tiles[0]) - 1)))
+    x, y = (F.when(F.col("side") == k, F.col("own")).otherwise(F.col("other")) for k in (0, 1))
+    return rows.select(*_FIELDS, "key", x.alias("x"), y.alias("y")).groupBy("key", "x", "y").applyInPandas(_seam(lexicon, sys.maxsize), "a string, b string, e double")
+
+
 def _learn(known: DataFrame) -> dict[str, dict[str, float]]:
     """For each word of the summaries' titles the words that stand for it, with their share, from known matches."""
     pairs: Counter[tuple[str, str]] = Counter()
@@ -321,10 +336,10 @@ def match(left: DataFrame, right: DataFrame, known: DataFrame, window: int = WIN
     taught = known.join(titles.where("side = 0").select(F.col("id").alias("a"), F.col("title").alias("ta")), "a").join(titles.where("side = 1").select(F.col("id").alias("b"), F.col("title").alias("tb")), "b")
     taught = write_table(taught.select("a", "b", "ta", "tb").distinct(), "known")
     lexicon = spark.sparkContext.broadcast(_learn(taught.orderBy(F.xxhash64("a")).limit(SAMPLE)))
-    keyed = rows.mapInArrow(_keyed(lexicon), f"{_SCHEMA}, key string").repartitionByRange("key").sortWithinPartitions("key", "id")
-    slid = write_table(keyed.mapInArrow(_slide(lexicon, window), _OUT), "slid")
+    keyed = write_table(rows.mapInArrow(_keyed(lexicon), f"{_SCHEMA}, key string"), "keyed")
+    slid = write_table(keyed.repartitionByRange("key").sortWithinPartitions("key", "id").mapInArrow(_slide(lexicon, window), _OUT), "slid")
     seams = slid.where("part >= 0").groupBy("part").applyInPandas(_seam(lexicon, window), "a string, b string, e double")
-    pairs = slid.where("a is not null").select("a", "b", "e").unionByName(seams).groupBy("a", "b").agg(F.max("e").alias("e"))
+    pairs = slid.where("a is not null").select("a", "b", "e").unionByName(seams).unionByName(_blocks(keyed, lexicon, window)).groupBy("a", "b").agg(F.max("e").alias("e"))
     # given matches outweigh all others
     given = one_to_one(taught.select("a", "b").distinct().withColumn("e", F.lit(1.0)))
     free = pairs.join(given.select("a"), "a", "left_anti").join(given.select("b"), "b", "left_anti")

@@ -60,3 +60,11 @@ def test_windows_reach_over_partitions(spark):
     right = [(f"r{k:03d}", f"Title{k} Word{k}", None, "1960-05-01", f"Place{k}", None) for k in range(120)]
     got = E.match(spark.createDataFrame(left, _FIELDS).repartition(7), spark.createDataFrame(right, _FIELDS).repartition(7), spark.createDataFrame([], "a string, b string")).collect()
     assert {(r.path_a[1:], r.path_b[1:]) for r in got} == {(f"{k:03d}", f"{k:03d}") for k in range(120)}
+
+
+def test_keys_of_many_records(spark):
+    """Pairs that meet only under a speaker and month which many records of both sides share."""
+    left = [(f"l{k:03d}", None, f"a{k:02d}xyzw golden h{k:02d}arbour amber", "1960-05", None, "Anselme Bel") for k in range(40)]
+    right = [(f"r{k:03d}", f"z{k:02d}xyzw golden h{k:02d}arbour zmber", None, "1960-05", None, "Anselme Bel") for k in range(40)]
+    got = E.match(spark.createDataFrame(left, _FIELDS), spark.createDataFrame(right, _FIELDS), spark.createDataFrame([], "a string, b string")).collect()
+    assert {(r.path_a[1:], r.path_b[1:]) for r in got} == {(f"{k:03d}", f"{k:03d}") for k in range(40)}
