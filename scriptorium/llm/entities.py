@@ -16,6 +16,7 @@ of one key that do not fit in a window are compared all with all, in tiles of bo
 from __future__ import annotations
 
 import difflib
+import heapq
 import math
 import re
 import sys
@@ -40,7 +41,7 @@ TILE = 256
 ENOUGH = 5.0
 #: Known matches that the word translations are learned from, at most.
 SAMPLE = 50_000
-#: Records of a component that one task solves; larger ones are first cut by taking locally best matches.
+#: Records of a component that is solved as a dense matrix; larger ones are solved over their pairs, as exactly.
 COMPONENT = 400
 
 # fixed values: names of months, and words for parts of the day
@@ -377,31 +378,19 @@ def one_to_one(pairs: DataFrame) -> DataFrame:
     sides = rest.select(F.concat(F.lit("0"), "a").alias("a"), F.concat(F.lit("1"), "b").alias("b"))
     groups = connected_groups(sides, "a", "b").where("record like '0%'").select(F.expr("substring(record, 2)").alias("a"), "group")
     edges = rest.join(groups, "a")
-    sizes = edges.groupBy("group").agg(F.count("*").alias("n"))
-    small = edges.join(sizes.where(F.col("n") <= COMPONENT * 4), "group")
-    solved = small.groupBy("group").applyInPandas(_assign, "a string, b string, e double")
-    large = edges.join(sizes.where(F.col("n") > COMPONENT * 4), "group", "left_semi").select("a", "b", "e")
-    return out.unionByName(solved).unionByName(_locally_best(large))
-
-
-def _locally_best(edges: DataFrame) -> DataFrame:
-    """For components too large for one task: matches that are the best of both ends, again and again."""
-    out, rest = edges.limit(0), write_table(edges, "large")
-    while not rest.isEmpty():
-        best = rest.groupBy("a").agg(F.max(F.struct("e", "b")).alias("t")).select("a", F.col("t.b").alias("b"), F.col("t.e").alias("e"))
-        back = rest.groupBy("b").agg(F.max(F.struct("e", "a")).alias("t")).select(F.col("t.a").alias("a"), "b")
-        now = write_table(best.join(back, ["a", "b"]).select("a", "b", "e"), "best")
-        if now.isEmpty():  # equal evidence all round: the smallest pair breaks the tie
-            now = write_table(rest.orderBy(F.desc("e"), "a", "b").limit(1), "best")
-        out = out.unionByName(now)
-        rest = write_table(rest.join(now.select("a"), "a", "left_anti").join(now.select("b"), "b", "left_anti"), "large")
-    return out
+    return out.unionByName(edges.groupBy("group").applyInPandas(_assign, "a string, b string, e double"))
 
 
 def _assign(pdf: pd.DataFrame) -> pd.DataFrame:
     """Maximum-weight matching of one component: the Hungarian method on its evidence, absent pairs weighing nothing."""
     a, b = sorted(pdf.a.unique()), sorted(pdf.b.unique())
     ia, ib = {x: k for k, x in enumerate(a)}, {x: k for k, x in enumerate(b)}
+    if len(pdf) > COMPONENT * 4:
+        near_: list[dict[int, float]] = [{} for _ in a]
+        for x, y, e in zip(pdf.a, pdf.b, pdf.e):
+            near_[ia[x]][ib[y]] = max(near_[ia[x]].get(ib[y], e), e)
+        rows = [(a[i], b[j], near_[i][j]) for i, j in enumerate(_sparse(near_, len(b))) if j >= 0]
+        return pd.DataFrame(rows, columns=["a", "b", "e"])
     w = np.zeros((max(len(a), len(b)),) * 2)
     for x, y, e in zip(pdf.a, pdf.b, pdf.e):
         w[ia[x], ib[y]] = max(w[ia[x], ib[y]], e)
@@ -410,6 +399,48 @@ def _assign(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["a", "b", "e"])
 
 
+def _sparse(weights: list[dict[int, float]], n: int) -> list[int]:
+    """Column of each row, or -1, in a matching of the largest weight; as ``_hungarian``, over the pairs there are.
+
+    Each row has a column of its own, of no weight, that leaves it free.
+    """
+    cost = [[*((j, -e) for j, e in w.items()), (n + i, 0.0)] for i, w in enumerate(weights)]
+    u, v = [0.0] * len(cost), [0.0] * (n + len(cost))
+    row_of, col_of = [-1] * len(v), [-1] * len(cost)
+    for first in range(len(cost)):
+        u[first] = min(c - v[j] for j, c in cost[first])
+        least: dict[int, float] = {}
+        way: dict[int, int] = {}
+        done: set[int] = set()
+        heap: list[tuple[float, int]] = []
+        i, far = first, 0.0
+        while True:
+            for j, c in cost[i]:
+                d = far + c - u[i] - v[j]
+                if j not in done and d < least.get(j, math.inf):
+                    least[j], way[j] = d, i
+                    heapq.heappush(heap, (d, j))
+            far, j = heapq.heappop(heap)
+            while j in done:
+                far, j = heapq.heappop(heap)
+            done.add(j)
+            if row_of[j] < 0:
+                break
+            i = row_of[j]
+        u[first] += far
+        for k in done:
+            v[k] -= far - least[k]
+            if row_of[k] >= 0:
+                u[row_of[k]] += far - least[k]
+        while True:
+            i = way[j]
+            row_of[j] = i
+            col_of[i], j = j, col_of[i]
+            if i == first:
+                break
+    return [j if j < n else -1 for j in col_of]
+
+
 def _hungarian(cost: np.ndarray) -> list[int]:
     """Column of each row in a least-cost assignment of a square matrix; shortest augmenting paths with potentials."""
     n = len(cost)

@@ -68,3 +68,21 @@ def test_keys_of_many_records(spark):
     right = [(f"r{k:03d}", f"z{k:02d}xyzw golden h{k:02d}arbour zmber", None, "1960-05", None, "Anselme Bel") for k in range(40)]
     got = E.match(spark.createDataFrame(left, _FIELDS), spark.createDataFrame(right, _FIELDS), spark.createDataFrame([], "a string, b string")).collect()
     assert {(r.path_a[1:], r.path_b[1:]) for r in got} == {(f"{k:03d}", f"{k:03d}") for k in range(40)}
+
+
+def test_large_components_are_assigned_exactly(spark):
+    edges = [(f"a{g}{i}", f"b{g}{j}", e) for g in range(600) for i, j, e in (("x", "x", 5.1), ("x", "y", 5.0), ("y", "x", 5.0))]
+    edges += [(f"a{g}y", f"b{g + 1}y", 0.1) for g in range(599)]
+    got = E.one_to_one(spark.createDataFrame(edges, "a string, b string, e double")).collect()
+    assert len({r.a for r in got}) == len(got) == len({r.b for r in got}) == 1200
+    assert abs(sum(r.e for r in got) - 6000) < 1e-6
+
+
+def test_sparse_matching():
+    rng = random.Random(4)
+    for _ in range(60):
+        w = [{j: rng.random() * 9 for j in range(5) if rng.random() < 0.6} for _ in range(5)]
+        to = E._sparse(w, 5)
+        used = [j for j in to if j >= 0]
+        assert len(used) == len(set(used))
+        assert abs(sum(w[i][j] for i, j in enumerate(to) if j >= 0) - max(sum(w[i].get(p[i], 0) for i in range(5)) for p in itertools.permutations(range(5)))) < 1e-9
