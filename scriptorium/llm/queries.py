@@ -100,7 +100,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of which more than half of the words are junk."""
-    return junk.junk_shares(_table(spark, sf_dir, "documents"), "doc_id", "text").where("share > 0.5").select(F.col("id").alias("doc_id"))
+    return junk.junk_shares(_table(spark, sf_dir, "documents"), "doc_id", "text", "lang").where("share > 0.5").select(F.col("id").alias("doc_id"))
 
 
 QUERIES = {
