@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
+from ..shared import drop_table, hot_join, write_counted, write_table
 
 
 def exploded(df: DataFrame, id_col: str, items: Column) -> DataFrame:
@@ -90,25 +96,74 @@ def one_to_one(matches: DataFrame, target: str = "b", decided: str | None = None
     return rows.where(ok).drop(*drop), rows.where(~ok).drop(*drop)
 
 
-def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``(record, group)`` of linked records, the group being the smallest of them: alternating star contraction."""
-    from ..shared import drop_table, write_table
-
-    e = pairs.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
-    now = write_table(e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+#: A vertex with more than this share of the edges is hot: at most ``2 / HOT`` are.
+HOT = 1 / 500
+#: Rows of a key that are never too many for a task.
+LEAST_HOT = 10_000
+#: Edges that one task solves; more of them are solved by star contraction, with equal labels.
+CORE = 1 << 20
+
+
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Smallest vertex of each component, for edges that fit in memory."""
+    parts = [pa.concat_arrays([b.column(k) for k in range(2)]) for b in batches]
+    if not parts:
+        return
+    both = pc.dictionary_encode(pa.concat_arrays([p[: len(p) // 2] for p in parts] + [p[len(p) // 2 :] for p in parts]))
+    v, at = both.dictionary, both.indices.to_numpy()
+    order = pc.sort_indices(v).to_numpy()
+    rank = np.empty(len(v), np.int64)
+    rank[order] = np.arange(len(v))
+    a, b = np.split(rank[at], 2)
+    label = np.arange(len(v))
     while True:
-        both = now.select(F.col("a").alias("v"), F.col("b").alias("w")).unionByName(now.select(F.col("b").alias("v"), F.col("a").alias("w")))
-        low = both.groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = write_table(both.where("w > v").join(low, "v").select(F.col("m").alias("a"), F.col("w").alias("b")).distinct(), "large")
-        low = large.groupBy("b").agg(F.min("a").alias("m"))
-        new = large.join(low, "b").select(F.explode(F.array("a", "b")).alias("x"), "m").where("x <> m").select(F.col("m").alias("a"), F.col("x").alias("b")).distinct()
-        new = write_table(new, "edges")
-        state = [t.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() for t in (now, new)]
-        drop_table(now, large)
-        now = new
-        if state[0] == state[1]:
+        x, y = label[a], label[b]
+        if (x == y).all():
             break
-    return now.select(F.col("b").alias("record"), F.col("a").alias("group")).unionByName(now.select(F.col("a").alias("record"), F.col("a").alias("group")).distinct())
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+    moved = np.flatnonzero(label != np.arange(len(v)))
+    yield pa.RecordBatch.from_arrays([v.take(pa.array(order[moved])), v.take(pa.array(order[label[moved]]))], names=["v", "label"])
+
+
+def contracted(edges: DataFrame, n: int, core: int = CORE) -> DataFrame:
+    """Components ``(v, label)`` of ``n`` edges ``a < b`` but for the labels themselves; ``core`` edges fit in one task."""
+    if n > core:
+        return stars(edges, n)
+    kind = edges.schema["a"].dataType.simpleString()
+    return edges.select("a", "b").repartition(1).mapInArrow(_solve, f"v {kind}, label {kind}")
+
+
+def stars(edges: DataFrame, n: int) -> DataFrame:
+    """Components ``(v, label)`` of ``n`` edges ``a < b``, labelled by the smallest vertex: large-star, small-star steps.
+
+    Edges of a hot vertex are never brought to one task.  The vertices that are labels are not in the result.
+    """
+    now, state = edges, None
+    while True:
+        # large star: neighbours greater than v go to the smallest of v and its neighbours
+        both = now.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("w")), F.struct(F.col("b").alias("v"), F.col("a").alias("w")))).alias("e")).select("e.v", "e.w")
+        low = write_table(both.groupBy("v").agg(F.min("w").alias("m"), F.count("*").alias("d")).select("v", F.least("v", "m").alias("m"), "d"), "low")
+        hot = [r.v for r in low.where(F.col("d") > max(HOT * n, LEAST_HOT)).collect()]
+        large, seen = write_counted(hot_join(both.where("w > v"), low.drop("d"), "v", hot).select(F.col("w").alias("b"), F.col("m").alias("a")).distinct(), "large")
+        # small star: v and its smaller neighbours go to the smallest of them; no vertex has more neighbours than here
+        least = large.groupBy("b").agg(F.min("a").alias("m"))
+        hot = [r.b for r in large.groupBy("b").count().where(F.col("count") > max(HOT * seen["n"], LEAST_HOT)).collect()] if seen["n"] > LEAST_HOT else []
+        new = hot_join(large, least, "b", hot).select(F.explode(F.array("a", "b")).alias("x"), "m").where("x <> m").select(F.col("m").alias("a"), F.col("x").alias("b")).distinct()
+        new, seen = write_counted(new, "edges", h=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+        drop_table(low, large, now)
+        if state == seen:
+            return new.select(F.col("b").alias("v"), F.col("a").alias("label"))
+        now, state, n = new, seen, seen["n"]
+
+
+def components(pairs: DataFrame, a: str = "a", b: str = "b", core: int = CORE) -> DataFrame:
+    """``(record, group)`` of linked records, the group being the smallest of them."""
+    e = pairs.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
+    edges, seen = write_counted(e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    now = write_table(contracted(edges, seen["n"], core), "labels")
+    return now.select(F.col("v").alias("record"), F.col("label").alias("group")).unionByName(now.select(F.col("label").alias("record"), F.col("label").alias("group")).distinct())
 
 
 def keeper(members: DataFrame, group: str, order: list) -> DataFrame:
