@@ -33,12 +33,12 @@ def shapes():
     return path + ring + star + dense + tree + dirt
 
 
-@pytest.mark.parametrize("rounds", [0, 2, 40])
-def test_groups(spark, rounds):
+@pytest.mark.parametrize("rounds,core", [(0, 0), (0, 1000), (2, 0), (40, 0), (40, 1000)])
+def test_groups(spark, rounds, core):
     pairs = shapes()
     random.Random(1).shuffle(pairs)
     df = spark.createDataFrame([(a, b, "clash") for a, b in pairs], "a string, b string, v string")
-    got = connected_groups(df, "a", "b", rounds).collect()
+    got = connected_groups(df, "a", "b", rounds, core).collect()
     assert len(got) == len({r[0] for r in got})
     assert dict(map(tuple, got)) == brute(pairs)
 
@@ -46,3 +46,16 @@ def test_groups(spark, rounds):
 def test_empty(spark):
     assert connected_groups(spark.createDataFrame([], "a string, b string"), "a", "b").isEmpty()
     assert connected_groups(spark.createDataFrame([("a", "a")], "a string, b string"), "a", "b").isEmpty()
+
+
+def test_hot_vertices(spark, monkeypatch):
+    """Hubs of which every row stays where it is: the same groups."""
+    from scriptorium.llm import components as C
+    from scriptorium.operators import linkage as L
+
+    monkeypatch.setattr(C, "LEAST_HOT", 5)
+    monkeypatch.setattr(L, "LEAST_HOT", 5)
+    pairs = shapes() + [("hub2", f"s{k:03d}") for k in range(40, 120)] + [("hub2", "p010")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert dict(map(tuple, connected_groups(df, "a", "b", 40, 0).collect())) == brute(pairs)
+    assert dict(map(tuple, connected_groups(df, "a", "b", 0, 0).collect())) == brute(pairs)
