@@ -148,11 +148,12 @@ class Lists:
     ``visits`` is the smallest number that reaches the wanted recall for queries of the sample against the sample.
     """
 
-    def __init__(self, sample: np.ndarray, k: int, recall: float = 0.97, seed: int = 7):
+    def __init__(self, sample: np.ndarray, k: int, recall: float = 0.97, seed: int = 7, rows: int = 0):
         rng = np.random.default_rng(seed)
         unit = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-12)
         n = len(unit)
-        lists = int(np.clip(round(n**0.5), 1, 256))
+        # as many lists as the square root of the rows, as far as the sample can tell them apart
+        lists = int(np.clip(round(max(n, rows) ** 0.5), 1, max(n // 5, 1)))
         c = unit[rng.choice(n, lists, replace=False)]
         for _ in range(12):
             own = (unit @ c.T).argmax(1)
@@ -181,7 +182,7 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, recall: float = 0.97) ->
     n = vectors.count()
     part = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, FIT_ROWS / max(n, 1))) + 1).limit(FIT_ROWS)
     sample = np.array([r.vector for r in part.where("vector is not null").select("vector").toLocalIterator()], float)
-    index = vectors.sparkSession.sparkContext.broadcast(Lists(sample, k, recall) if len(sample) else None)
+    index = vectors.sparkSession.sparkContext.broadcast(Lists(sample, k, recall, rows=n) if len(sample) else None)
 
     def lists_of(visits: int | None):
         @F.arrow_udf(ArrayType(IntegerType()))
@@ -200,6 +201,12 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, recall: float = 0.97) ->
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def recall_of(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """``(query, recall)``: the share of each query's exact neighbours that were found."""
+    hit = found.select("query", "id", F.lit(1).alias("hit"))
+    return exact.select("query", "id").join(hit, ["query", "id"], "left").groupBy("query").agg((F.count("hit") / F.count("*")).alias("recall"))
+
+
 def hybrid(text_scores: DataFrame, vector_scores: DataFrame, text_weight: float = 0.3, k: int = 10) -> DataFrame:
     """Weighted sum over documents that either ranking has; a missing score is 0."""
     rows = text_scores.select("id", F.col("score").alias("t")).join(vector_scores.select("id", F.col("score").alias("v")), "id", "full_outer")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import refs, similarity
 from ..functions import text as tx
 from ..operators import quality, windows
+from ..shared import spread
 from .registry import VISIBLE, WORKS, query
 
 
@@ -88,8 +89,8 @@ def agg_hash_groups(t):
 
 @query()
 def agg_doc_freq(t):
-    words = F.split(F.trim(F.regexp_replace(F.lower("summary"), "[^a-zà-ÿ']+", " ")), " ")
-    return t.markdown.where("summary is not null").select(F.explode(F.array_distinct(F.concat(similarity.ngrams(words, 2), similarity.ngrams(words, 3)))).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("df")).where("df >= 8")
+    words = F.split(F.trim(F.regexp_replace(F.lower("body"), "[^a-zà-ÿ']+", " ")), " ")
+    return spread(t.markdown.where("body is not null").select("body")).select(F.explode(F.array_distinct(F.concat(similarity.ngrams(words, 2), similarity.ngrams(words, 3)))).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("df")).where("df >= 8")
 
 
 @query("WITH i AS (SELECT DISTINCT md_id, tag FROM (SELECT md_id, unnest(tags) AS tag FROM markdown)) SELECT md_id, tag FROM i WHERE tag IN (SELECT tag FROM i GROUP BY 1 HAVING count(*) <= 20)")
@@ -329,9 +330,14 @@ def inc_progress(t):
     return progress(t.events, ["user_id"]).select("user_id", "progress", F.unix_micros(F.col("opened").cast("timestamp")).alias("opened_us"))
 
 
-@query("SELECT path, ref_id FROM (SELECT DISTINCT path, ref_id FROM cites) WHERE path IS NOT NULL AND path NOT IN (SELECT path FROM markdown WHERE path IS NOT NULL)")
+_TARGETS = "list_concat(regexp_extract_all(text, '\\]\\(([^)\\s]+)\\)', 1), regexp_extract_all(text, 'href=\"([^\"]+)\"', 1))"
+
+
+@query(f"WITH l AS (SELECT doc_id, regexp_replace(unnest({_TARGETS}), '#.*$', '') AS target FROM documents), d AS (SELECT DISTINCT doc_id, target FROM l WHERE target <> '') SELECT doc_id, target FROM d WHERE target NOT IN (SELECT url FROM documents WHERE url IS NOT NULL)")
 def dq_assets_resolve(t):
-    return quality.unresolved(t.cites.select("path", "ref_id").distinct().where("path is not null"), "path", t.markdown, "path")
+    """Targets of links in the texts, fragments cut off, that are no document's address."""
+    links = t.documents.select("doc_id", F.explode(tx.links(F.col("text"))).alias("target")).select("doc_id", F.regexp_replace("target", "#.*$", "").alias("target"))
+    return quality.unresolved(links.where("target <> ''").distinct(), "target", t.documents.where("url is not null"), "url")
 
 
 @query("SELECT DISTINCT duplicate_of AS path FROM markdown WHERE duplicate_of IS NOT NULL AND duplicate_of NOT IN (SELECT path FROM markdown WHERE path IS NOT NULL)")
@@ -354,14 +360,18 @@ def dq_unique_keys(t):
     return quality.duplicates(t.markdown, ["path"])
 
 
-@query("SELECT md_id, date FROM markdown WHERE date IS NOT NULL AND NOT regexp_full_match(date, '\\d{4}(-(0[1-9]|1[0-2])(-(0[1-9]|[12]\\d|3[01]))?)?')")
+@query("SELECT coalesce(length(date), 0)::INTEGER AS digits, date IS NULL OR regexp_full_match(date, '\\d{4}(-(0[1-9]|1[0-2])(-(0[1-9]|[12]\\d|3[01]))?)?') AS valid, count(*) AS n FROM markdown GROUP BY 1, 2")
 def dq_dates_valid(t):
-    return quality.invalid_dates(t.markdown.select("md_id", "date"), "date")
+    """Dates by precision, those that are no day, month or year apart."""
+    bad = quality.invalid_dates(t.markdown.select("md_id", "date"), "date").select("md_id", F.lit(False).alias("ok"))
+    rows = t.markdown.select("md_id", "date").join(bad, "md_id", "left")
+    return rows.groupBy(F.coalesce(F.length("date"), F.lit(0)).alias("digits"), F.coalesce("ok", F.lit(True)).alias("valid")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id FROM events WHERE NOT json_valid(props)")
+@query("SELECT event_type, count(*) AS n, count(*) FILTER (WHERE NOT json_valid(props)) AS invalid FROM events GROUP BY 1")
 def dq_json_valid(t):
-    return quality.invalid_json(t.events, "props").select("event_id")
+    bad = quality.invalid_json(t.events, "props").groupBy("event_type").agg(F.count("*").alias("bad"))
+    return t.events.groupBy("event_type").agg(F.count("*").alias("n")).join(bad, "event_type", "left").select("event_type", "n", F.coalesce("bad", F.lit(0)).alias("invalid"))
 
 
 @query("SELECT doc_id, length(text) AS n FROM documents WHERE length(text) > 20000")
@@ -380,7 +390,10 @@ def dq_attribution(t):
     return m.groupBy(tx.signature(F.col("body"), F.col("preacher")).alias("state")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT path, max(title) AS title FROM markdown GROUP BY 1 HAVING false")
+@query("SELECT count(DISTINCT coalesce(path, '')) AS n, 0 AS different FROM markdown")
 def dq_idempotent(t):
-    run = lambda: t.markdown.groupBy("path").agg(F.max("title").alias("title"))
-    return quality.same(run(), run())
+    """Rows of a run, and how many of them a second run over what the first one wrote would change."""
+    first = t.markdown.groupBy("path").agg(F.max("title").alias("title"), F.max("ingested_at").alias("at"))
+    second = t.markdown.unionByName(first.select("path", "title", F.col("at").alias("ingested_at")), allowMissingColumns=True).groupBy("path").agg(F.max("title").alias("title"), F.max("ingested_at").alias("at"))
+    odd = quality.same(first, second).agg(F.count("*").cast("int").alias("different"))
+    return first.agg(F.count("*").alias("n")).crossJoin(F.broadcast(odd))  # one row each

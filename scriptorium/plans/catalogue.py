@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, exchange, joins, projections, recipes
+from . import aggregates, exchange, joins, oracles, projections, recipes
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "aggregates", "exchange", "joins", "projections", "recipes"]
+__all__ = ["ORACLES", "QUERIES", "aggregates", "exchange", "joins", "oracles", "projections", "recipes"]

@@ -132,15 +132,8 @@ for _name in ("src_pdf_text", "src_docx"):
     query("SELECT doc_id, length(text) AS n, NULL::VARCHAR AS error FROM documents WHERE text IS NOT NULL", name=_name)(_plugged)
 
 
-@query("SELECT md_id, title AS text FROM markdown WHERE regexp_full_match(title, '[A-Za-zÀ-ÖØ-öø-ÿ’, ]{2,60}')")
-def src_ocr_merge(t):
-    """Titles without their signs, which come back from the text that has them."""
-    m = t.markdown.where(F.col("title").rlike("^[A-Za-zÀ-ÖØ-öø-ÿ’, ]{2,60}$"))
-    return align.aligned(m.select(F.col("md_id").alias("id"), F.translate("title", "’,", "").alias("text"), F.col("title").alias("source")), "signs").select(F.col("id").alias("md_id"), "text")
-
-
 @query()
-def src_ocr_merge_all(t):
+def src_ocr_merge(t):
     """Whole bodies without their signs, which come back from the text that has them."""
     b = spread(t.markdown.where("body is not null").select(F.col("md_id").alias("id"), F.regexp_replace("body", r"[^\p{L}\p{M}\p{N}\p{Z}\s]", "").alias("text"), F.col("body").alias("source")))
     return align.aligned(b, "signs").select(F.col("id").alias("md_id"), "text")
@@ -283,11 +276,13 @@ def dq_redirect_limits(t):
     return t.works.where("duplicate_of is not null").agg(F.count("*").alias("n")).withColumn("within", F.col("n") <= 2000)
 
 
-@query(f"WITH {VISIBLE} SELECT path FROM visible WHERE title IS NULL OR regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '', 'g') = ''")
+@query(f"WITH {VISIBLE} SELECT source, count(*) AS n, count(*) FILTER (WHERE title IS NULL OR regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '', 'g') = '') AS without FROM visible GROUP BY 1")
 def dq_titles_present(t):
-    return t.visible.where(F.col("title").isNull() | (F.length(F.regexp_replace(norm.title(F.col("title")), " ", "")) == 0)).select("path")
+    """Visible works of each source, and those whose title is missing or has no letter."""
+    return t.visible.groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("title").isNull() | (F.length(F.regexp_replace(norm.title(F.col("title")), " ", "")) == 0)).alias("without"))
 
 
-@query("SELECT doc_id FROM documents WHERE n_chars IS DISTINCT FROM length(text)")
+@query("SELECT lang, count(*) AS n, count(*) FILTER (WHERE n_chars IS DISTINCT FROM length(text)) AS wrong FROM documents GROUP BY 1")
 def dq_lengths(t):
-    return quality.over_limit(t.documents.select("doc_id", F.when(~F.col("n_chars").eqNullSafe(F.length("text").cast("long")), 1).otherwise(0).alias("d")), F.col("d"), 0).select("doc_id")
+    """Documents of each language, and those whose stated length is not that of their text."""
+    return t.documents.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(~F.col("n_chars").eqNullSafe(F.length("text").cast("long"))).alias("wrong"))

@@ -159,9 +159,10 @@ def join_cache(t):
     return t.markdown.select("md_id", F.sha2("body", 256).alias("h")).join(c, "h", "left").select("md_id", "cached")
 
 
-@query("SELECT DISTINCT preacher FROM documents WHERE preacher IS NOT NULL AND preacher NOT IN (SELECT preacher FROM markdown WHERE preacher IS NOT NULL)")
+@query("SELECT DISTINCT person FROM (SELECT unnest(persons) AS person FROM markdown) WHERE person IS NOT NULL AND person NOT IN (SELECT preacher FROM documents WHERE preacher IS NOT NULL)")
 def join_registry(t):
-    return t.documents.where("preacher is not null").select("preacher").distinct().join(t.markdown.select("preacher"), "preacher", "left_anti")
+    """Persons that the registry of speakers does not have."""
+    return t.markdown.select(F.explode("persons").alias("person")).where("person is not null").distinct().join(t.documents.select(F.col("preacher").alias("person")), "person", "left_anti")
 
 
 @query(f"WITH {WORKS} SELECT w.path, o.title AS original_title FROM works w JOIN works o ON w.original = o.path")
@@ -287,15 +288,15 @@ def tok_fingerprint(t):
     return d.select("doc_id", F.size(similarity.fingerprint(F.col("text"))).cast("long").alias("n_first"), F.size(similarity.fingerprint_distinct(F.col("text"))).cast("long").alias("n_distinct"))
 
 
-@query("WITH w AS (SELECT md_id, list_filter(string_split(regexp_replace(strip_accents(lower(summary)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM markdown WHERE summary IS NOT NULL) SELECT md_id, count(DISTINCT array_to_string(w[k:k+4], ' ')) AS n FROM (SELECT md_id, w, unnest(range(1, len(w) - 3)) AS k FROM w) GROUP BY 1")
+@query("WITH w AS (SELECT md_id, list_filter(string_split(regexp_replace(strip_accents(lower(body)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM markdown WHERE body IS NOT NULL) SELECT md_id, count(DISTINCT array_to_string(w[k:k+4], ' ')) AS n FROM (SELECT md_id, w, unnest(range(1, len(w) - 3)) AS k FROM w) GROUP BY 1")
 def tok_shingles(t):
-    d = t.markdown.where("summary is not null").select("md_id", norm.words(F.col("summary")).alias("w"))
+    d = spread(t.markdown.where("body is not null").select("md_id", "body")).select("md_id", norm.words(F.col("body")).alias("w"))
     return d.select("md_id", F.size(similarity.shingles(F.col("w"))).cast("long").alias("n")).where("n > 0")
 
 
 @query()
 def tok_ngrams(t):
-    d = t.markdown.where("summary is not null").select("md_id", norm.words(F.col("summary")).alias("w"))
+    d = spread(t.markdown.where("body is not null").select("md_id", "body")).select("md_id", norm.words(F.col("body")).alias("w"))
     return d.select("md_id", F.array_join(similarity.ngrams(F.col("w"), 2), "|").alias("phrases"))
 
 
@@ -399,13 +400,9 @@ _rows_only("txt_heading_guard", lambda t: t.markdown.where("title is not null").
 _rows_only("txt_heading_candidates", lambda t: t.markdown.where("body is not null").select("md_id", F.posexplode(tx.heading_candidates(F.col("body"))).alias("k", "heading")))
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '(?i)</?(p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|blockquote|section|article)\\b[^>]*>', ' ', 'g'), '<[^>]+>', '', 'g'), '\\s+', ' ', 'g')) AS text FROM documents WHERE regexp_full_match(text, '[\\x0A\\x20-\\x25\\x27-\\x7EÀ-ÿœŒ’]*')")
+@query()
 def txt_html_to_text(t):
-    d = t.documents.where(F.col("text").rlike("^[\\n\\x20-\\x25\\x27-\\x7EÀ-ÿœŒ’]*$"))
-    return d.select("doc_id", tx.html_to_text(F.col("text")).alias("text"))
-
-
-_rows_only("txt_html_to_text_all", lambda t: t.documents.where("text is not null").select("doc_id", tx.html_to_text(F.col("text")).alias("text")))
+    return t.documents.where("text is not null").select("doc_id", tx.html_to_text(F.col("text")).alias("text"))
 
 
 @query("SELECT doc_id, regexp_replace(text, '\\.{8,}', '… ', 'g') AS text FROM documents WHERE text IS NOT NULL")
@@ -461,15 +458,9 @@ def fts_analyzer(t):
     return rows.groupBy(search.stem(F.col("term"), "fr").alias("stem")).agg(F.sum("n").alias("n"))
 
 
-@query("SELECT doc_id, regexp_replace(text, '\\b(lumi|berger)\\b', '**\\1**', 'gi') AS text FROM documents WHERE regexp_matches(text, '(?i)\\bberger\\b') AND regexp_full_match(text, '[\\x0A\\x20-\\x7E]*')")
-def fts_highlight(t):
-    d = t.documents.where(F.col("text").rlike(r"(?i)\bberger\b") & F.col("text").rlike(r"^[\n\x20-\x7E]*$"))
-    return d.select("doc_id", search.highlight(F.col("text"), ["lumi", "berger"]).alias("text"))
-
-
 @query()
-def fts_highlight_all(t):
-    """All documents that hold the word, with accents too, where the SQL of ``fts_highlight`` does not go."""
+def fts_highlight(t):
+    """All documents that hold the word; letters and marks of every script are parts of words."""
     d = t.documents.where(F.col("text").rlike(search.whole_words(["berger"])))
     return d.select("doc_id", search.highlight(F.col("text"), ["lumi", "berger"]).alias("text"))
 

@@ -125,11 +125,12 @@ def sink_upsert_content(t):
     return merge.upsert_content(old, t.events.where("event_type = 'purchase'").groupBy("user_id").agg(F.max("value").alias("v")), ["user_id"])
 
 
-@query("SELECT path, max(location) AS location FROM markdown GROUP BY 1 HAVING sha256(max(location)) IS DISTINCT FROM sha256(min(location))")
+@query("SELECT path, max(source_path) AS source_path FROM manifest GROUP BY 1 HAVING max(source_path) IS DISTINCT FROM min(source_path)")
 def sink_patch_if_changed(t):
-    g = t.markdown.groupBy("path")
-    old, new = g.agg(F.min("location").alias("location")), g.agg(F.max("location").alias("location"))
-    return merge.changed(old, new, ["path"], "location")
+    """Paths that were entered again with another file behind them."""
+    g = t.manifest.groupBy("path")
+    old, new = g.agg(F.min("source_path").alias("source_path")), g.agg(F.max("source_path").alias("source_path"))
+    return merge.changed(old, new, ["path"], "source_path")
 
 
 @query("SELECT cite_id, CASE WHEN c.ref_id IS NULL THEN 'no reference' ELSE 'unknown document' END AS reason FROM cites c WHERE c.ref_id IS NULL OR c.path IS NULL OR c.path NOT IN (SELECT path FROM markdown WHERE path IS NOT NULL)")

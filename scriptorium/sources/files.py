@@ -153,21 +153,28 @@ def url_list(links: DataFrame, col: str) -> DataFrame:
     return links.select(u.alias("url")).where(F.lower("url").endswith(".pdf")).distinct().withColumn("date", tx.date_from_name(F.regexp_extract("url", r"([^/]+)$", 1)))
 
 
-def frontier(pages: DataFrame, start: str, rounds: int = 30) -> DataFrame:
-    """Pages ``(url, depth)`` reached from ``start`` over the links of stored pages ``(url, links)``; no fetching."""
-    from ..shared import write_table
+def frontier(pages: DataFrame, start: str) -> DataFrame:
+    """Pages ``(url, depth)`` reached from ``start`` over the links of stored pages ``(url, links)``; no fetching.
+
+    One round for each depth, until a round finds nothing new.
+    """
+    from ..shared import drop_table, write_table
 
     spark = pages.sparkSession
     edges = write_table(pages.select("url", F.explode("links").alias("to")).distinct(), "links")
     seen = write_table(spark.createDataFrame([(start, 0)], "url string, depth int"), "seen")
-    for k in range(1, rounds + 1):
+    k = 0
+    while True:
+        k += 1
         last = seen.where(F.col("depth") == k - 1)
         new = edges.join(last.select("url"), "url", "left_semi").select(F.col("to").alias("url")).distinct().join(pages.select("url").distinct(), "url", "left_semi").join(seen.select("url"), "url", "left_anti")
         new = write_table(new.withColumn("depth", F.lit(k)), "found")
         if new.isEmpty():
-            break
-        seen = write_table(seen.unionByName(new), "seen")
-    return seen
+            drop_table(edges, new)
+            return seen
+        more = write_table(seen.unionByName(new), "seen")
+        drop_table(seen, new)
+        seen = more
 
 
 def crawl_json(df: DataFrame, host: str) -> DataFrame:
@@ -188,7 +195,7 @@ def all_years(df: DataFrame, col: str) -> DataFrame:
 
 def html_listing(df: DataFrame, col: str, marker: str = 'class="messagebox"') -> DataFrame:
     """Id and place of each box of a listing page."""
-    boxes = df.select(F.explode(F.slice(F.split(F.col(col), re.escape(marker)), 2, 1_000_000)).alias("box"))
+    boxes = df.select(F.posexplode(F.split(F.col(col), re.escape(marker))).alias("k", "box")).where("k > 0")
     return boxes.select(F.regexp_extract("box", r"(\d{2}-\d{4}[A-Z]?)", 1).alias("id"), F.trim(F.regexp_extract("box", r"<(?:span|div)[^>]*class=\"location\"[^>]*>([^<]+)<", 1)).alias("location")).where("id <> ''")
 
 

@@ -156,8 +156,8 @@ def test_signs_of_whole_texts():
 def test_whole_bodies_and_pages(spark, tmp_path):
     bodies = ["« Où ? », dit-il.", "L’an 1963 — “page” " * 20, "Ωμέγα,\u2003βήτα\u00a0!", None]
     spark.createDataFrame(list(enumerate(bodies)), "md_id long, body string").write.parquet(f"{tmp_path}/markdown.parquet")
-    assert dict(map(tuple, catalogue.QUERIES["src_ocr_merge_all"](spark, str(tmp_path)).collect())) == {k: b for k, b in enumerate(bodies) if b}
+    assert dict(map(tuple, catalogue.QUERIES["src_ocr_merge"](spark, str(tmp_path)).collect())) == {k: b for k, b in enumerate(bodies) if b}
     pages = ["<p>a&amp;b</p>", "Ω <b>x</b>y &lt;i&gt; &amp;lt;", "<DIV\nclass='a'>œ — “q”</DIV>", "&nbsp;x&quot;&#39;&rsquo;", "", None]
     spark.createDataFrame(list(enumerate(pages)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     want = {0: "a&b", 1: "Ω xy <i> &lt;", 2: "œ — “q”", 3: "x\"'’", 4: ""}
-    assert dict(map(tuple, catalogue.QUERIES["txt_html_to_text_all"](spark, str(tmp_path)).collect())) == want
+    assert dict(map(tuple, catalogue.QUERIES["txt_html_to_text"](spark, str(tmp_path)).collect())) == want

@@ -170,5 +170,5 @@ def test_highlight_of_texts_with_accents(spark, tmp_path):
         return parts
 
     want = {k: "".join(f"**{w}**" if w.lower() in ("lumi", "berger") else w for w in words(x)) for k, x in enumerate(texts) if x and "berger" in map(str.lower, words(x))}
-    assert {r.doc_id: r.text for r in catalogue.QUERIES["fts_highlight_all"](spark, str(tmp_path)).collect()} == want
+    assert {r.doc_id: r.text for r in catalogue.QUERIES["fts_highlight"](spark, str(tmp_path)).collect()} == want
     assert set(want) == {0, 4, 5, 8}

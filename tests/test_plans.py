@@ -11,7 +11,7 @@ from .conftest import DATA
 # queries that run jobs of their own while they are built
 BUSY = {"src_crawl", "join_cooccur_edges", "src_walk_md", "src_bible_xml", "src_csv", "src_llm_cache", "sink_jsonl", "sink_partitioned_by_year"}
 # one row beside a table: totals of the whole
-SINGLE_ROWS = {"agg_count_all", "q1_totals", "agg_max_global", "s8_bible"}
+SINGLE_ROWS = {"q11_nearest_approximate", "dq_idempotent", "agg_count_all", "q1_totals", "agg_max_global", "s8_bible"}
 
 
 def plan(spark, name):
