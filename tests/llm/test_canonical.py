@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm import canonical as C
 
-CASES = [("Ｌｅ ｓｏｉｒ", "Le soir"), ("ﬁn ﬆ", "fin st"), ("été", "été"), ("so​ir⁠", "soir"), ("a b　c d", "a b c d"), ("νieոt", "vient"), ("ⓥⓘⓢ", "vis"), ("𝐥’𝐞𝐬𝐩é𝐫", "l’espér"), ("ⅼune", "lune"), ("so­ir", "soir"), ("nuıt", "nuit")]
-SAME = ["L’été « où » — œuvre… 12 №", "свет", "λόγος", "ἀγάπη", "דבר", "a\nb", "½ «…» “x” – ¿", "", "ſ"[:0]]
+CASES = [("Ｌｅ ｓｏｉｒ", "Le soir"), ("ﬁn ﬆ", "fin st"), ("été", "été"), ("so​ir⁠", "soir"), ("a b　c d", "a b c d"), ("νieոt", "vient"), ("ⓥⓘⓢ", "vis"), ("𝐥’𝐞𝐬𝐩é𝐫", "l’espér"), ("ⅼune", "lune"), ("so­ir", "soir"), ("nuıt", "nuit"), ("Ꭺdam", "Adam"), ("ᴀbc", "abc"), ("le\tsoir", "le soir"), ("so\x07ir", "soir")]
+SAME = ["L’été « où » — œuvre… 12 №", "свет", "λόγος", "ἀγάπη", "דבר", "a\nb", "½ «…» “x” – ¿", "", "ſ"[:0], "Kırık ışık", "yağmurlı ışık İstanbul", "می‌خواهم", "क्‍ष", "👩‍🌾", "x² + y³ en m²"]
 
 
 @pytest.mark.parametrize("text,want", CASES)
