@@ -56,9 +56,29 @@ def test_learned_order_of_values(spark):
     assert {r.g: r.v for r in S.latest_values(untimed, "g", "v", "t", learned).collect()} == {"x": "published", "z": "draft"}
 
 
+def test_topological_order(spark):
+    """Through others, and through a cycle whose weakest step is given up; values of no learned order come last."""
+    steps = [("", "a", "b", 3, 0), ("", "b", "c", 3, 0), ("", "c", "d", 5, 1), ("", "x", "y", 4, 0), ("", "y", "z", 4, 0), ("", "z", "x", 1, 0), ("k", "d", "a", 9, 0)]
+    learned = spark.createDataFrame(steps, "kind string, earlier string, later string, n long, against long")
+    got = {(r.kind, r.v): r.level for r in S.levels(learned).collect()}
+    assert got["", "a"] < got["", "b"] < got["", "c"] < got["", "d"] and got["", "x"] < got["", "y"] < got["", "z"] and got["k", "d"] < got["k", "a"]
+    untimed = [("g", "a"), ("g", "d"), ("h", "z"), ("h", "x"), ("h", "x"), ("i", "q"), ("i", "a"), ("j", "q"), ("j", "q"), ("j", "p")]
+    df = spark.createDataFrame([(g, v, None) for g, v in untimed], "g string, v string, t timestamp")
+    assert {r.g: r.v for r in S.latest_values(df, "g", "v", "t", learned).collect()} == {"g": "d", "h": "z", "i": "a", "j": "q"}
+    assert S.levels(learned.limit(0)).isEmpty()
+
+
 def test_golden(spark):
     at = datetime(2024, 1, 1)
     rows = [row(1, "p", "a", None, "2024-01-01", 9, at, "draft"), row(2, "p", "b", None, None, 2, datetime(2024, 2, 1), "published")]
     sources = spark.createDataFrame([("a", 1), ("b", 2)], "source string, trust int")
     r = S.golden(table(spark, rows), sources, ["status", "title"]).first()
     assert (r.id, r.n, r.status, r.title) == (1, 2, "published", "x")
+
+
+def test_golden_without_timestamps(spark):
+    at = datetime(2024, 1, 1)
+    rows = [r for k in range(4) for r in (row(2 * k, f"p{k}", "a", None, None, 2, at, "draft"), row(2 * k + 1, f"p{k}", "a", None, None, 2, datetime(2024, 2, 1), "published"))]
+    rows += [row(20, "q", "a", None, None, 2, None, "published"), row(21, "q", "a", None, None, 2, None, "draft"), row(22, "q", "a", None, None, 2, None, "draft")]
+    sources = spark.createDataFrame([("a", 1)], "source string, trust int")
+    assert {r.group_key: r.status for r in S.golden(table(spark, rows), sources, ["status"]).collect()} == {**{f"p{k}": "published" for k in range(4)}, "q": "published"}
