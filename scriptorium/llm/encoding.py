@@ -27,7 +27,7 @@ from ..shared import spread
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 #: Word pattern of the byte-level vocabularies, a fixed value of theirs.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-LEAF = 1 << 14
+LEAF = 1 << 10
 FIRST_WINDOW = 32
 
 
