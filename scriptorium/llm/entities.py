@@ -9,8 +9,9 @@ both its ends together is surely part of such an assignment and is taken at once
 components, each solved exactly.
 
 Scale.  Windows slide inside range partitions; the first and last rows of each partition are joined with those of its
-neighbour in a second, tiny step.  A key held by very many records makes a long partition, not a large window; records
-of one key that do not fit in a window are compared all with all, in tiles of both sides spread over the tasks.
+neighbour in a second, tiny step.  Records of one key that do not fit in a window are compared all with all, up to
+``TILE`` of either side; those of a larger key only where they also share a day or two of name, place and title words,
+which any pair worth a comparison does.
 """
 
 from __future__ import annotations
@@ -292,15 +293,57 @@ def _seam(lexicon, window: int):
     return run
 
 
-def _blocks(keyed: DataFrame, lexicon, window: int) -> DataFrame:
-    """Evidence of all pairs of equal keys that are held by more records than a window takes."""
-    sizes = keyed.groupBy("key").agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1")).where(f"n0 > 0 and n1 > 0 and n0 + n1 > {window}")
-    rows = keyed.join(sizes, "key")
-    tiles = [F.ceil(F.col(n) / TILE).cast("int") for n in ("n0", "n1")]
-    own = F.pmod(F.xxhash64("id"), F.when(F.col("side") == 0, tiles[0]).otherwise(tiles[1])).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, tiles[1]).otherwise(tiles[0]) - 1)))
-    x, y = (F.when(F.col("side") == k, F.col("own")).otherwise(F.col("other")) for k in (0, 1))
-    return rows.select(*_FIELDS, "key", x.alias("x"), y.alias("y")).groupBy("key", "x", "y").applyInPandas(_seam(lexicon, sys.maxsize), "a string, b string, e double")
+def points(r: Record) -> list[str]:
+    """What ``promising`` looks at: every promising pair has a day or two of the other points in common."""
+    out = {f"n {x}" for x in (r.family, r.given) if x} | {f"t {x}" for x in r.tokens}
+    if r.place:
+        out.add(f"p {r.place}")
+    out |= {f"w {w}" for w in (r.title if r.side else {w for g in r.guess for w in g})}
+    at = sorted(out)
+    two = [f"{x}|{y}" for k, x in enumerate(at) for y in at[k + 1 :]]
+    return two + sorted({f"d {d + k}" for d in r.days for k in ((0,) if r.side else (-1, 0, 1))})
+
+
+def _pointed(lexicon) -> object:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, keys = [], []
+            for k, row in enumerate(zip(*(b.column(c).to_pylist() for c in range(7)))):
+                own = points(Record(*row, lexicon.value))
+                at += [k] * len(own)
+                keys += own
+            yield pa.RecordBatch.from_arrays([*b.take(pa.array(at, pa.int64())).columns, pa.array(keys, pa.string())], names=[*_FIELDS, "key"])
+
+    return run
+
+
+def _blocks(keyed: DataFrame, lexicon, window: int, tile: int = TILE) -> DataFrame:
+    """Evidence of the pairs of equal keys that are held by more records than a window takes.
+
+    A key held by at most ``tile`` records of either side is one task's work.  Records of larger ones are joined once
+    more, by what two of them must have in common to be worth a comparison; only where many have that in common, too,
+    all pairs are compared, in tiles.
+    """
+
+    def sizes_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1")).where("n0 > 0 and n1 > 0")
+
+    def tiled(rows: DataFrame) -> DataFrame:
+        tiles = [F.ceil(F.col(n) / tile).cast("int") for n in ("n0", "n1")]
+        own = F.pmod(F.xxhash64("id"), F.when(F.col("side") == 0, tiles[0]).otherwise(tiles[1])).cast("int")
+        rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, tiles[1]).otherwise(tiles[0]) - 1)))
+        x, y = (F.when(F.col("side") == k, F.col("own")).otherwise(F.col("other")) for k in (0, 1))
+        return rows.select(*_FIELDS, "key", x.alias("x"), y.alias("y")).groupBy("key", "x", "y").applyInPandas(_seam(lexicon, sys.maxsize), "a string, b string, e double")
+
+    sizes = write_table(sizes_of(keyed).where(f"n0 + n1 > {window}"), "sizes")
+    out = tiled(keyed.join(sizes.where(f"n0 <= {tile} and n1 <= {tile}"), "key"))
+    large = sizes.where(f"n0 > {tile} or n1 > {tile}")
+    if large.isEmpty():
+        return out
+    # one kind of key for all: a pair of any kind is found by its points
+    again = keyed.join(large.select("key"), "key", "left_semi").select(*_FIELDS).distinct().mapInArrow(_pointed(lexicon), f"{_SCHEMA}, key string")
+    again = write_table(again, "points")
+    return out.unionByName(tiled(again.join(sizes_of(again), "key")))
 
 
 def _learn(known: DataFrame) -> dict[str, dict[str, float]]:

@@ -28,6 +28,19 @@ def test_empty_sides(spark):
     assert E.match(none, none, known).isEmpty()
 
 
+def test_large_keys_are_compared_by_what_they_share(spark):
+    """Thirty summaries and thirty sermons of one year, speaker and place: every pair with a day or title in common meets."""
+    rng = random.Random(6)
+    said = [" ".join(rng.sample("Lamp Well River Harvest Door Night Garden Stone Tower Cloud Key Road Sheaf Anchor Lantern".split(), 3)) for _ in range(30)]
+    left = [(f"l{k:02d}", "Autre", f"Résumé de : {x}", "1960", "Val de Run", "Anselme Garsel") for k, x in enumerate(said)]
+    right = [(f"r{k:02d}", x, None, "1960", "Val de Run", "Anselme Garsel") for k, x in enumerate(said)]
+    rows = spark.createDataFrame([(i, s, *r) for s, side in ((0, left), (1, right)) for i, *r in side], "id string, side int, title string, subtitle string, day string, location string, preacher string")
+    lexicon = spark.sparkContext.broadcast({})
+    keyed = rows.mapInArrow(E._keyed(lexicon), f"{E._SCHEMA}, key string")
+    found = [{(r.a, r.b): r.e for r in E._blocks(keyed, lexicon, 10, tile).collect()} for tile in (256, 4)]
+    assert found[0] == found[1] and all((f"l{k:02d}", f"r{k:02d}") in found[1] for k in range(30))
+
+
 def best_total(edges):
     a = sorted({x for x, _, _ in edges})
     by = {(x, y): e for x, y, e in edges}
