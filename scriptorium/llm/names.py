@@ -25,9 +25,9 @@ from ..shared import write_table
 from .canonical import canonical
 from .shingles import fold
 
-# fixed values: titles before names, and short forms in names of places
+# fixed values: titles before names, legal forms behind those of organisations, and short forms in names of places
 TITLES = frozenset("fr frere br bro brother soeur sr sister past pasteur pastor rev reverend dr docteur doctor m mr mme mlle monsieur madame mademoiselle evangeliste evang pere mere abbe ancien diacre apotre prophete".split())
-LEGAL = frozenset("ville commune village cite".split())
+LEGAL = frozenset("sarl sas sasu snc gmbh ohg ltd ltd. limited llc llp plc inc inc. incorporated corp corp. corporation srl spa asbl s.a. s.a.r.l. s.a.s.".split())
 SHORT = {"st": "saint", "ste": "sainte", "bg": "bourg", "mt": "mont", "mts": "monts", "s": "sur", "l": "les", "chateau": "chateau", "ch": "chateau"}
 
 
@@ -65,10 +65,13 @@ def readings(name: str) -> list[tuple[str, str]]:
 
 
 def _no_titles(words: list[str]) -> list[str]:
-    k = 0
-    while k < len(words) - 1 and words[k].rstrip(".") in TITLES:
+    """Without titles at the front, and the legal form of an organisation at the end."""
+    k, n = 0, len(words)
+    while k < n - 1 and words[k].rstrip(".") in TITLES:
         k += 1
-    return words[k:]
+    while n > k + 1 and words[n - 1] in LEGAL:
+        n -= 1
+    return words[k:n]
 
 
 def initials(given: str) -> str:

@@ -12,6 +12,7 @@ def test_readings():
     assert ("anselme", "garsel") in names.readings("Garsel, Anselme") and len(names.readings("Garsel, A.")) == 1
     assert ("", "garsel") in names.readings("Frère Garsel") and ("m.", "garsel") in names.readings("M. Garsel")
     assert ("jean-baptiste", "mel") in names.readings("Past. Jean Baptiste MEL")
+    assert names.readings("Moldu Kelba GmbH") == names.readings("Moldu Kelba") and ("", "moldu") in names.readings("Moldu S.A.")
     assert names.readings("") == [] and names.readings("Dr") == [("", "dr")]
 
 
