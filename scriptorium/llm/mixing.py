@@ -6,7 +6,8 @@ the posterior of a naive Bayes classifier fitted on labelled documents; one of a
 fits them so that the expected tokens of every source match its share of the total.  Documents of equal membership
 have equal gradients, hence equal rates: memberships are kept in ``1 / GRAIN`` steps, so the gradient works on sums
 over all documents in a table whose size is bounded whatever the corpus.  Rates become whole repeats by bins of a
-hash of the id: of each source the bins are taken once more whose tokens add up to what the fitted rates want.
+hash of the id: of each source the bins are taken once more whose tokens add up to what its fitted rate gives, and to
+what the whole repeats of documents of several sources left over.
 
 The total.  The largest total for which all sources with documents reach their shares, but no less than
 ``LEAST_FILL`` of the tokens there are; sources that cannot reach their share of that are used up to their cap, the
@@ -183,9 +184,12 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     table = np.zeros((len(names), BINS))
     for r in sure.groupBy("k", "bin").agg(F.sum("n_tokens").alias("t")).collect():
         table[r.k, r.bin] = r.t
+    single = {g.index(GRAIN): x for g, x in zip(grains.tolist(), rate.tolist()) if max(g) == GRAIN}
+    fitted = {k: sum(g[k] * r.t * x for g, r, x in zip(grains.tolist(), sums, rate.tolist()) if max(g) < GRAIN) / GRAIN for k in range(len(names))}
     for k, row in enumerate(table):
         if (all_ := row.sum()) > 0:
-            part = min(max(want[k] - given.get(k, 0.0), 0.0), caps[k] * all_)
+            # the fitted rate of the source, and what whole repeats of documents of several sources gave too much or little
+            part = min(max(single.get(k, 0.0) * all_ + fitted[k] - given.get(k, 0.0), 0.0), caps[k] * all_)
             whole = int(part // all_)
             rules.append(([GRAIN * (j == k) for j in range(len(names))], whole, _fill(row, part - whole * all_).tolist()))
     used = _repeated(held, rules)
