@@ -31,6 +31,8 @@ SKETCH_BITS = 21
 FAN = 8
 #: Pairs of nodes looked at together; bounds the memory of a traversal.
 FRONT = 1 << 19
+#: Entries of trees that are looked at together, but for a larger tree.
+ENTRIES = 1 << 20
 SLICES = 32
 
 _SETS = "id long, cls long, n int, toks binary, sketch binary, slice int"
@@ -138,10 +140,29 @@ def _route(threshold: float, parts: int, ranks, batches: Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 5)], names=["part", "cls", "n", "bits", "key", "doc"])
 
 
+class Bitmaps:
+    """Bitmaps of texts, of several widths, one after another."""
+
+    def __init__(self, flat: np.ndarray, level: np.ndarray):
+        size = np.left_shift(1, level) >> 3
+        self.flat, self.level, self.start = flat, level, np.cumsum(size) - size
+
+    def of(self, at: np.ndarray) -> np.ndarray:
+        """Rows of some bitmaps of one width."""
+        if not len(at):
+            return np.zeros((0, 1), np.uint64)
+        return self.flat[self.start[at][:, None] + np.arange((1 << int(self.level[at[0]])) >> 3)].view(np.uint64)
+
+    def take(self, at: np.ndarray) -> Bitmaps:
+        size = np.left_shift(1, self.level[at]) >> 3
+        where = np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return Bitmaps(self.flat[where], self.level[at])
+
+
 class Forest:
     """The signature trees of one partition, level by level; level 0 are the entries, the last level the roots."""
 
-    def __init__(self, key: np.ndarray, doc: np.ndarray, index: np.ndarray, cls: np.ndarray, n: np.ndarray, bits: list[np.ndarray], level: np.ndarray, threshold: float):
+    def __init__(self, key: np.ndarray, doc: np.ndarray, index: np.ndarray, cls: np.ndarray, n: np.ndarray, bits: Bitmaps, threshold: float):
         self.t = threshold / (1 + threshold)
         self.ratio = threshold
         order = np.lexsort((cls[doc], n[doc], key))
@@ -154,10 +175,11 @@ class Forest:
         alone = np.repeat(count == 1, count)
         key, doc, index, count = key[~alone], doc[~alone], index[~alone], count[count > 1]
         self.doc, self.index, self.n, self.cls = doc, index, n, cls
-        self._pages(bits, level)
+        level = bits.level
+        self._pages(bits)
         rank = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
         tree = np.repeat(np.arange(len(count)), count)
-        narrow = self._narrow(bits, level)
+        narrow = self._narrow(bits)
         low = high = n[doc]
         half = n - np.bitwise_count(self._half(narrow)).sum(1, dtype=np.int64)
         # a repeated bitmap has as many members without a bit of their own as at its own width
@@ -175,12 +197,13 @@ class Forest:
             tree, rank, step = tree[node], rank[node] // FAN, step + 1
 
     @staticmethod
-    def _narrow(bits: list[np.ndarray], level: np.ndarray, to: int = 8) -> np.ndarray:
+    def _narrow(bits: Bitmaps, to: int = 8) -> np.ndarray:
         """Every bitmap at one width: wider ones folded by OR, narrower ones repeated."""
+        level = bits.level
         out = np.zeros((len(level), (1 << to) // 64), np.uint64)
         for lv in np.unique(level):
             at = np.flatnonzero(level == lv)
-            x = np.stack([bits[i] for i in at]).view(np.uint64)
+            x = bits.of(at)
             if lv > to:
                 out[at] = np.bitwise_or.reduce(x.reshape(len(at), -1, out.shape[1]), axis=1)
             else:
@@ -192,14 +215,15 @@ class Forest:
         """Bitmaps folded to half their width, which undoes the repetition of narrow ones."""
         return sig[:, : sig.shape[1] // 2] | sig[:, sig.shape[1] // 2 :]
 
-    def _pages(self, bits: list[np.ndarray], level: np.ndarray) -> None:
+    def _pages(self, bits: Bitmaps) -> None:
         """For each width the bitmaps of that width and of the next wider one, folded; sizes in a pair never differ by more."""
+        level = bits.level
         self.level, self.page, self.row = level, {}, {}
         for lv in np.unique(level):
             own, wider = np.flatnonzero(level == lv), np.flatnonzero(level == lv + 1)
-            rows = [np.stack([bits[i] for i in own]).view(np.uint64)]
+            rows = [bits.of(own)]
             if len(wider):
-                rows.append(np.bitwise_or.reduce(np.stack([bits[i] for i in wider]).view(np.uint64).reshape(len(wider), 2, -1), axis=1))
+                rows.append(np.bitwise_or.reduce(bits.of(wider).reshape(len(wider), 2, -1), axis=1))
             at = np.full(len(level), -1, np.int32)
             at[own] = np.arange(len(own))
             at[wider] = len(own) + np.arange(len(wider))
@@ -267,29 +291,40 @@ def _traverse(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[p
     have = 0
     for b in batches:
         for c, m, x, k, d in zip(*(b.column(i).to_pylist() for i in range(1, 6))):
-            c, m, k = np.frombuffer(c, np.int64), np.frombuffer(m, np.uint32), np.frombuffer(k, np.uint32)
+            c = np.frombuffer(c, np.int64)
             d = np.frombuffer(d, np.uint32 if len(c) > 32767 else np.uint16).astype(np.int64)
-            x = np.frombuffer(x, np.uint8)
-            size = np.left_shift(1, _levels(m)) >> 3
-            bits += np.split(x, np.cumsum(size)[:-1])
             cls.append(c)
-            n.append(m)
-            key.append(k)
+            n.append(np.frombuffer(m, np.uint32))
+            bits.append(np.frombuffer(x, np.uint8))
+            key.append(np.frombuffer(k, np.uint32))
             doc.append(d + 2 * have)
             have += len(c)
     if not have:
         return
-    c, m, d = np.concatenate(cls), np.concatenate(n).astype(np.int64), np.concatenate(doc)
-    forest = Forest(np.concatenate(key), d >> 1, (d & 1).astype(bool), c, m, bits, _levels(m), threshold)
-    found: list[np.ndarray] = []
-    for x in forest.candidates():
-        found.append(x)
-        if sum(map(len, found)) > 4 * FRONT:
-            found = [np.unique(np.concatenate(found))]
-    if found:
-        x = np.unique(np.concatenate(found))
-        a, b = c[(x >> np.uint64(32)).astype(np.int64)], c[(x & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["cls_a", "cls_b"])
+    c, m = np.concatenate(cls), np.concatenate(n).astype(np.int64)
+    maps = Bitmaps(np.concatenate(bits), _levels(m))
+    k, d = np.concatenate(key), np.concatenate(doc)
+    del cls, n, bits, key, doc
+    # trees, some at a time, so that the memory of a forest does not grow with the task
+    order = np.argsort(k)
+    k, d = k[order], d[order]
+    at = 0
+    while at < len(k):
+        end = len(k) if len(k) - at <= ENTRIES else int(np.searchsorted(k, k[at + ENTRIES], "left"))
+        if end <= at:  # one tree that is larger
+            end = int(np.searchsorted(k, k[at], "right"))
+        own, local = np.unique(d[at:end] >> 1, return_inverse=True)
+        forest = Forest(k[at:end], local, (d[at:end] & 1).astype(bool), c[own], m[own], maps.take(own), threshold)
+        found: list[np.ndarray] = []
+        for x in forest.candidates():
+            found.append(x)
+            if sum(map(len, found)) > 4 * FRONT:
+                found = [np.unique(np.concatenate(found))]
+        if found:
+            x = np.unique(np.concatenate(found))
+            a, b = c[own[(x >> np.uint64(32)).astype(np.int64)]], c[own[(x & np.uint64(0xFFFFFFFF)).astype(np.int64)]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["cls_a", "cls_b"])
+        at = end
 
 
 def _verify(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
