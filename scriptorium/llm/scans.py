@@ -2,8 +2,9 @@
 
 Method.  Lines of hard-wrapped texts become symbols of layout features (shape of a page number, likeness to title,
 author or another line of the text, length, case, closing mark, a page number beside it).  A hidden Markov model with
-the states text, header and page number labels them; its emissions start from layout weights and are counted again
-from the Viterbi labels of all texts (hard EM, a table of bounded size).  Text lines whose last word goes on in the
+the states text, header and page number labels them; its emissions and transitions start from layout weights and are
+counted again from the Viterbi labels of all texts until they stand still (hard EM, tables of bounded size).  Texts are
+written once with their symbols, which all later steps read.  Text lines whose last word goes on in the
 next text line are breaks.  A misread word is one that a few reversals of known character confusions turn into a
 word that is many times as frequent in the whole corpus; lexicon, candidate words and their repairs are joined as
 tables.  Paragraphs are put together without page furniture, with broken words joined and misread words repaired.
@@ -103,57 +104,105 @@ def first_emissions() -> np.ndarray:
     return w
 
 
-_T = np.log(np.array([[0.92, 0.03, 0.05], [0.6, 0.002, 0.398], [0.6, 0.398, 0.002]]))
+_T = np.array([[0.92, 0.03, 0.05], [0.6, 0.002, 0.398], [0.6, 0.398, 0.002]])
+#: Rounds of counting at most, and the share of moved counts below which the model stands.
+ROUNDS, STILL = 10, 1e-3
 
 
-def viterbi(syms: np.ndarray, emit: np.ndarray) -> np.ndarray:
+class LineModel:
+    """Log emissions ``[state, symbol]`` and log transitions ``[state, next state]``."""
+
+    def __init__(self, emit: np.ndarray | None = None, step: np.ndarray | None = None):
+        self.emit = first_emissions() if emit is None else emit
+        self.step = np.log(_T) if step is None else step
+
+
+def viterbi(syms: np.ndarray, model: LineModel) -> np.ndarray:
     """The most probable states of the lines; blank lines stay out of the chain and are text."""
     at = np.flatnonzero(syms >= 0)
     out = np.zeros(len(syms), np.int64)
     if not len(at):
         return out
-    score = emit[:, syms[at[0]]] + np.log([0.6, 0.3, 0.1])
+    emit = model.emit[:, syms[at]].T.tolist()
+    (t00, t01, t02), (t10, t11, t12), (t20, t21, t22) = model.step.tolist()
+    a, b, c = (x + np.log(y) for x, y in zip(emit[0], (0.6, 0.3, 0.1)))
     back = []
-    for k in at[1:]:
-        step = score[:, None] + _T
-        back.append(step.argmax(0))
-        score = step.max(0) + emit[:, syms[k]]
-    s = int(score.argmax())
-    for k, b in zip(at[:0:-1], back[::-1]):
-        out[k] = s
-        s = int(b[s])
-    out[at[0]] = s
+    for e in emit[1:]:  # three states: plain numbers are faster than arrays of three
+        x = max((a + t00, 0), (b + t10, -1), (c + t20, -2))
+        y = max((a + t01, 0), (b + t11, -1), (c + t21, -2))
+        z = max((a + t02, 0), (b + t12, -1), (c + t22, -2))
+        back.append((-x[1], -y[1], -z[1]))
+        a, b, c = x[0] + e[0], y[0] + e[1], z[0] + e[2]
+    s = max((a, 0), (b, -1), (c, -2))[1] * -1
+    states = [s]
+    for k in range(len(back) - 1, -1, -1):
+        s = back[k][s]
+        states.append(s)
+    out[at] = states[::-1]
     return out
 
 
-def _texts(batch: pa.RecordBatch):
-    """Identifier, lines and names of each text of a batch ``id, body, names``."""
-    for i, body, names in zip(*(batch.column(k).to_pylist() for k in range(3))):
-        yield i, body.split("\n"), [n for n in names or [] if n]
+_LINED = "id long, body string, symbols binary"
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    emit, n = first_emissions(), np.zeros((3, SYMBOLS), np.int64)
+def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the layout symbols of their lines, two bytes each."""
     for b in batches:
-        for _, lines, names in _texts(b):
-            syms = symbols(lines, names)
-            states = viterbi(syms, emit)
-            at = syms >= 0
-            np.add.at(n, (states[at], syms[at]), 1)
-    s, k = n.nonzero()
-    yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(n[s, k])], names=["state", "symbol", "n"])
+        out = []
+        for body, names in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            out.append(symbols(body.split("\n"), [n for n in names or [] if n]).astype(np.int16).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["id", "body", "symbols"])
+
+
+def _states(b: pa.RecordBatch, model: LineModel):
+    """Identifier, lines and states of each text of a batch ``id, body, symbols``."""
+    for i, body, syms in zip(*(b.column(k).to_pylist() for k in range(3))):
+        yield i, body.split("\n"), viterbi(np.frombuffer(syms, np.int16).astype(np.int64), model)
 
 
-def line_model(wrapped: DataFrame) -> np.ndarray:
-    """Log emissions counted from the labels of all texts, resting on the first weights."""
+def _count(model: LineModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Symbols by state (``next`` -1), and steps from state to state (``symbol`` -1)."""
+    n, steps = np.zeros((3, SYMBOLS), np.int64), np.zeros((3, 3), np.int64)
+    for b in batches:
+        for x in b.column(0).to_pylist():
+            syms = np.frombuffer(x, np.int16).astype(np.int64)
+            syms = syms[syms >= 0]
+            states = viterbi(syms, model)
+            np.add.at(n, (states, syms), 1)
+            np.add.at(steps, (states[:-1], states[1:]), 1)
+    (s, k), (u, v) = n.nonzero(), steps.nonzero()
+    none = np.full
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.r_[s, u].astype(np.int32)), pa.array(np.r_[k, none(len(u), -1)].astype(np.int32)), pa.array(np.r_[none(len(s), -1), v].astype(np.int32)), pa.array(np.r_[n[s, k], steps[u, v]])],
+        names=["state", "symbol", "next", "n"],
+    )
+
+
+def line_model(lined: DataFrame) -> LineModel:
+    """Emissions and transitions counted from the labels of all texts, again and again until the counts stand still.
+
+    Both rest on the first weights, which keep rare symbols in their place.
+    """
     first = first_emissions()
-    n = np.exp(first - first.max(1, keepdims=True))
-    n = 50 * n / n.sum(1, keepdims=True)
-    for r in wrapped.mapInArrow(_count, "state int, symbol int, n long").groupBy("state", "symbol").agg(F.sum("n").alias("n")).collect():
-        n[r.state, r.symbol] += r.n
-    # emissions against the share of each symbol; the prior weights keep rare symbols in their place
-    counted = np.log(n / n.sum(1, keepdims=True))
-    return 0.5 * (counted - counted.max(1, keepdims=True)) + 0.5 * first
+    prior = np.exp(first - first.max(1, keepdims=True))
+    prior = 50 * prior / prior.sum(1, keepdims=True)
+    model, before = LineModel(), None
+    for _ in range(ROUNDS):
+        n, steps = np.zeros((3, SYMBOLS)), np.zeros((3, 3))
+        now = model
+        for r in lined.select("symbols").mapInArrow(lambda it: _count(now, it), "state int, symbol int, next int, n long").groupBy("state", "symbol", "next").agg(F.sum("n").alias("n")).collect():
+            if r.symbol >= 0:
+                n[r.state, r.symbol] = r.n
+            else:
+                steps[r.state, r.next] = r.n
+        if before is not None and np.abs(n - before).sum() <= STILL * max(n.sum(), 1):
+            break
+        before = n
+        # emissions against the share of each symbol
+        counted = np.log((n + prior) / (n + prior).sum(1, keepdims=True))
+        steps += 500 * _T
+        model = LineModel(0.5 * (counted - counted.max(1, keepdims=True)) + 0.5 * first, np.log(steps / steps.sum(1, keepdims=True)))
+    return model
 
 
 def broken(lines: list[str], states: np.ndarray) -> list[tuple[int, int]]:
@@ -186,12 +235,11 @@ def words_of(lines: list[str], states: np.ndarray) -> Iterator[tuple[int, int, s
             yield k, -1, w.lower()
 
 
-def _label(emit: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _label(model: LineModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of kinds ``header, page_no, break`` and, of kind ``word``, the words that may be misread."""
     for b in batches:
         rows = []
-        for i, lines, names in _texts(b):
-            states = viterbi(symbols(lines, names), emit)
+        for i, lines, states in _states(b, model):
             rows += [(i, k + 1, "header" if states[k] == HEADER else "page_no", None, -1) for k in np.flatnonzero(states).tolist()]
             rows += [(i, a + 1, "break", None, -1) for a, _ in broken(lines, states)]
             rows += [(i, k + 1, "word", w, n + 1 if n >= 0 else -1) for k, n, w in words_of(lines, states) if len(w) > 1 and not w.isdigit()]
@@ -275,9 +323,14 @@ def scanned_lines(df: DataFrame, id_col: str = "md_id", body_col: str = "body",
     Lines are split at line feeds and counted from 1.  Null, empty and unwrapped texts have no lines here; equal
     texts have equal lines; an empty table gives an empty result; other columns are ignored.
     """
-    wrapped = wrapped_texts(df, id_col, body_col, list(name_cols))
-    emit = line_model(wrapped)
-    marked = write_table(wrapped.mapInArrow(lambda it: _label(emit, it), "id long, line_no int, kind string, word string, next int"), "lines")
+    return _scanned(df, id_col, body_col, name_cols)[:2]
+
+
+def _scanned(df: DataFrame, id_col: str, body_col: str, name_cols: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, LineModel]:
+    """Lines and repairs, and what they were made from: the texts with symbols, the marked lines and the model."""
+    lined = write_table(wrapped_texts(df, id_col, body_col, list(name_cols)).mapInArrow(_symbols, _LINED), "lined", "zstd")
+    model = line_model(lined)
+    marked = write_table(lined.mapInArrow(lambda it: _label(model, it), "id long, line_no int, kind string, word string, next int"), "lines")
     texts = df.select(F.col(body_col).cast("string").alias("t")).where("t is not null")
     lexicon = write_table(spread(texts).mapInArrow(_lexicon, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lexicon")
     words = marked.where("kind = 'word'")
@@ -286,7 +339,7 @@ def scanned_lines(df: DataFrame, id_col: str = "md_id", body_col: str = "body",
     # a broken word is misread in the part where it differs
     where = F.when(F.col("next") > 0, _differs("word", "fix", "line_no", "next")).otherwise(F.col("line_no"))
     misread = odd.select("id", where.alias("line_no"), F.lit("misread").alias("kind")).distinct()
-    return marked.where("kind <> 'word'").select("id", "line_no", "kind").unionByName(misread), fixes
+    return marked.where("kind <> 'word'").select("id", "line_no", "kind").unionByName(misread), fixes, lined, marked, model
 
 
 def _differs(word: str, fix: str, line: str, after: str):
@@ -295,13 +348,12 @@ def _differs(word: str, fix: str, line: str, after: str):
     return F.when(2 * first > F.length(word) + 1, F.col(after)).otherwise(F.col(line))
 
 
-def _repair(emit: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repair(model: LineModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, out = [], []
-        fixes = b.column(3).to_pylist()
-        for (i, lines, names), own in zip(_texts(b), fixes):
+        for (i, lines, states), own in zip(_states(b, model), b.column(3).to_pylist()):
             ids.append(i)
-            out.append(reassemble(lines, viterbi(symbols(lines, names), emit), dict(own or [])))
+            out.append(reassemble(lines, states, dict(own or [])))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["id", "text"])
 
 
@@ -340,11 +392,7 @@ def reassemble(lines: list[str], states: np.ndarray, fixes: dict[str, str]) -> s
 
 def repaired(df: DataFrame, id_col: str = "md_id", body_col: str = "body", name_cols: tuple[str, ...] = ("title", "preacher")) -> DataFrame:
     """``(id, text)`` of the scanned texts, repaired; other texts are not in the result."""
-    lines, fixes = scanned_lines(df, id_col, body_col, name_cols)
-    wrapped = wrapped_texts(df, id_col, body_col, list(name_cols))
-    emit = line_model(wrapped)
-    marked = wrapped.mapInArrow(lambda it: _label(emit, it), "id long, line_no int, kind string, word string, next int")
+    lines, fixes, lined, marked, model = _scanned(df, id_col, body_col, name_cols)
     own = marked.where("kind = 'word'").join(fixes, "word").groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("word", "fix"))).alias("fixes"))
-    scanned = lines.select("id").distinct()
-    rows = wrapped.join(scanned, "id", "left_semi").join(own, "id", "left").select("id", "body", "names", "fixes")
-    return rows.mapInArrow(lambda it: _repair(emit, it), "id long, text string")
+    rows = lined.join(lines.select("id").distinct(), "id", "left_semi").join(own, "id", "left").select("id", "body", "symbols", "fixes")
+    return rows.mapInArrow(lambda it: _repair(model, it), "id long, text string")

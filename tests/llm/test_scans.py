@@ -99,9 +99,9 @@ def test_viterbi_is_the_best_path():
     emit = rng.normal(size=(3, S.SYMBOLS))
     at = [k for k, s in enumerate(syms) if s >= 0]
     start = np.log([0.6, 0.3, 0.1])
-    score = lambda p: start[p[0]] + sum(emit[s, syms[k]] for s, k in zip(p, at)) + sum(S._T[a, b] for a, b in zip(p, p[1:]))
+    score = lambda p: start[p[0]] + sum(emit[s, syms[k]] for s, k in zip(p, at)) + sum(np.log(S._T)[a, b] for a, b in zip(p, p[1:]))
     best = max(itertools.product(range(3), repeat=len(at)), key=score)
-    assert tuple(S.viterbi(syms, emit)[at]) == best
+    assert tuple(S.viterbi(syms, S.LineModel(emit))[at]) == best
 
 
 def test_reassembly():
