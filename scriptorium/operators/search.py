@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions import norm, similarity
-from ..shared import spread, write_table
+from ..shared import keep_until_exit, spread, write_table
 
 #: Constants of BM25; one place for them.
 K1, B = 1.2, 0.75
@@ -44,6 +44,20 @@ def lengths(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.size(tokens(F.col(text_col))).alias("len")).where("len > 0")
 
 
+def write_index(docs: DataFrame, path: str, id_col: str, text_col: str, filters: list[str], meta: list[str]) -> dict[str, DataFrame]:
+    """An index as tables under ``path``: ``postings(term, id, tf)`` in order of terms, so that a query's terms are all
+    that is read of them, and ``documents(id, len, filters, meta)``; registered for deletion at exit."""
+    spark = docs.sparkSession
+    post = postings(docs, id_col, text_col).repartitionByRange("term").sortWithinPartitions("term", "id")
+    rows = docs.select(F.col(id_col).alias("id"), F.size(tokens(F.col(text_col))).alias("len"), *filters, *meta)
+    out = {}
+    for name, df in (("postings", post), ("documents", rows)):
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        keep_until_exit(spark, f"{path}/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{path}/{name}")
+    return out
+
+
 def match(post: DataFrame, terms: list[str]) -> DataFrame:
     """Documents that hold all terms."""
     terms = list(dict.fromkeys(terms))

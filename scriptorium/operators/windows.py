@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shared import write_table
+from ..shared import hot_join, write_counted, write_table
 
 
 def ranked(df: DataFrame, by: list[str], order: list) -> DataFrame:
@@ -29,24 +29,25 @@ def paginate(df: DataFrame, order: list, size: int, by: list[str]) -> DataFrame:
 
 
 def prev_next(df: DataFrame, group: str, order: list, id_col: str) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("previous", F.lag(id_col).over(w)).withColumn("next", F.lead(id_col).over(w))
+    """The item before and the one after each in its group, however large that is: ranks, joined with their neighbours."""
+    rows = write_table(ranked(df, [group], order), "ranked")
+    near = [rows.select(group, F.col(id_col).alias(name), (F.col("rank") + step).alias("rank")) for name, step in (("previous", 1), ("next", -1))]
+    return rows.join(near[0], [group, "rank"], "left").join(near[1], [group, "rank"], "left").drop("rank")
 
 
 def next_circular(df: DataFrame, group: str, order: list, id_col: str, n: int = 2) -> DataFrame:
     """The ``n`` items after each in its group, wrapping round; never itself."""
-    w, all_ = Window.partitionBy(group).orderBy(*order), Window.partitionBy(group)
-    rows = df.select(group, id_col, (F.row_number().over(w) - 1).alias("k"), F.count("*").over(all_).alias("m"))
-    want = rows.select(group, id_col, F.explode(F.sequence(F.lit(1), F.least(F.lit(n), F.greatest(F.col("m") - 1, F.lit(1))))).alias("step"), "k", "m").where("m > 1")
-    to = rows.select(F.col(group).alias("_g"), F.col(id_col).alias("follower"), F.col("k").alias("_k"))
-    hit = (F.col(group) == F.col("_g")) & (F.pmod(F.col("k") + F.col("step"), F.col("m")) == F.col("_k"))
-    return want.join(to, hit).select(group, id_col, F.col("step").cast("int").alias("step"), "follower")
+    rows, seen = write_counted(ranked(df, [group], order).select(group, id_col, (F.col("rank") - 1).alias("k")), "ranked")
+    sizes = write_table(rows.groupBy(group).agg(F.count("*").alias("m")), "sizes")
+    hot = [r[0] for r in sizes.where(F.col("m") > max(seen["n"] / 500, 10_000)).select(group).collect()]  # 500 at most
+    want = hot_join(rows, sizes, group, hot).where("m > 1").select(group, id_col, "k", "m", F.explode(F.sequence(F.lit(1), F.least(F.lit(n), F.greatest(F.col("m") - 1, F.lit(1))))).alias("step"))
+    to = rows.select(group, F.col(id_col).alias("follower"), "k")
+    return want.withColumn("k", F.pmod(F.col("k") + F.col("step"), F.col("m"))).join(to, [group, "k"]).select(group, id_col, F.col("step").cast("int").alias("step"), "follower")
 
 
 def part_number(df: DataFrame, group: str, explicit: str, day: str, id_col: str) -> DataFrame:
     """Parts 1..n: by their explicit number first, then by date (unknown last), then by id: a total order."""
-    w = Window.partitionBy(group).orderBy(F.col(explicit).asc_nulls_last(), F.col(day).asc_nulls_last(), id_col)
-    return df.withColumn("part", F.row_number().over(w))
+    return ranked(df, [group], [F.col(explicit).asc_nulls_last(), F.col(day).asc_nulls_last(), F.col(id_col)]).withColumnRenamed("rank", "part")
 
 
 def slug_suffix(df: DataFrame, token: str, order: list) -> DataFrame:

@@ -255,8 +255,8 @@ def win_nonoverlap(t):
 
 @query(f"WITH {WORKS} SELECT path, row_number() OVER (PARTITION BY source ORDER BY coalesce(date, '9999'), sermon_id, path) AS place FROM works")
 def sort_stable_multi(t):
-    w = Window.partitionBy("source").orderBy(F.coalesce("date", F.lit("9999")), "sermon_id", "path")
-    return t.works.select("path", F.row_number().over(w).cast("long").alias("place"))
+    rows = t.works.select("source", "path", "sermon_id", F.coalesce("date", F.lit("9999")).alias("day"))
+    return windows.ranked(rows, ["source"], [F.col("day"), F.col("sermon_id"), F.col("path")]).select("path", F.col("rank").cast("long").alias("place"))
 
 
 @query(f"WITH {VISIBLE} SELECT path, title, date FROM visible ORDER BY coalesce(date, '') DESC, title NULLS FIRST, path LIMIT 50")
@@ -379,9 +379,12 @@ def dq_file_limits(t):
     return quality.over_limit(t.documents.select("doc_id", F.length("text").cast("long").alias("n")), F.col("n"), 20000)
 
 
-@query(f"WITH {VISIBLE} SELECT path FROM visible WHERE source = 'mevar' ORDER BY date DESC NULLS LAST, path LIMIT 30")
+@query(f"WITH {VISIBLE}, n AS (SELECT path FROM visible WHERE source = 'mevar' ORDER BY date DESC NULLS LAST, path LIMIT 30), f AS (SELECT path FROM works WHERE source = 'mevar' ORDER BY date DESC NULLS LAST, path LIMIT 30) SELECT coalesce(n.path, f.path) AS path, CASE WHEN f.path IS NULL THEN 'missing' WHEN n.path IS NULL THEN 'stale' ELSE 'right' END AS state FROM n FULL JOIN f USING (path)")
 def dq_rss_newest(t):
-    return t.visible.where("source = 'mevar'").orderBy(F.col("date").desc_nulls_last(), "path").limit(30).select("path")
+    """The newest visible works against a feed that was made from all works: what it lacks, and what it should not have."""
+    newest = lambda df: df.where("source = 'mevar'").orderBy(F.col("date").desc_nulls_last(), "path").limit(30).select("path")
+    both = newest(t.visible).withColumn("n", F.lit(True)).join(newest(t.works).withColumn("f", F.lit(True)), "path", "full_outer")
+    return both.select("path", F.when(F.col("f").isNull(), "missing").when(F.col("n").isNull(), "stale").otherwise("right").alias("state"))
 
 
 @query()

@@ -128,8 +128,33 @@ def _plugged(t):
     return files.plugin(d, lambda b: b.decode()).select(F.col("path").cast("long").alias("doc_id"), F.length("text").cast("long").alias("n"), "error")
 
 
-for _name in ("src_pdf_text", "src_docx"):
-    query("SELECT doc_id, length(text) AS n, NULL::VARCHAR AS error FROM documents WHERE text IS NOT NULL", name=_name)(_plugged)
+_SAME = "SELECT doc_id, length(text) AS n, NULL::VARCHAR AS error FROM documents WHERE text IS NOT NULL"
+query(_SAME, name="src_pdf_text")(_plugged)
+
+
+@query(_SAME)
+def src_docx(t):
+    """Texts as DOCX files, read back."""
+
+    @F.pandas_udf("binary")
+    def packed(x: pd.Series) -> pd.Series:
+        return x.map(files.docx_file)
+
+    d = spread(t.documents.where("text is not null").select(F.col("doc_id").cast("string").alias("path"), "text")).select("path", packed("text").alias("content"))
+    return files.plugin(d, files.docx_text).select(F.col("path").cast("long").alias("doc_id"), F.length("text").cast("long").alias("n"), "error")
+
+
+def _small_only(content: bytes) -> str:
+    if len(content) > 2_000:
+        raise ValueError("too long")
+    return content.decode()
+
+
+@query(_SAME)
+def inc_retry(t):
+    """Texts through a converter that takes short pieces only: long ones are tried again in halves."""
+    d = spread(t.documents.where("text is not null").select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content")))
+    return files.plugin(d, _small_only, retries=30).select(F.col("path").cast("long").alias("doc_id"), F.length("text").cast("long").alias("n"), "error")
 
 
 @query()

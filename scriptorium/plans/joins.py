@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import align, norm, refs, similarity
 from ..functions import text as tx
 from ..operators import linkage, search
-from ..shared import spread, write_table
+from ..shared import shared_dir, spread, write_table
 from .registry import WORKS, query
 
 
@@ -71,18 +73,29 @@ def join_jaccard_best(t):
     return linkage.jaccard_best(_items(d.where("source = 'mevar-pdfs'"), "md_id", fp, 1), _items(d.where("source = 'mevar'"), "md_id", fp, 1), 0.5)
 
 
-@query("WITH w AS (SELECT doc_id AS id, list_filter(string_split(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT DISTINCT id, array_to_string(w[k:k+4], ' ') AS s FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS k FROM w)), n AS (SELECT id, count(*) AS n FROM i GROUP BY 1), d AS (SELECT s FROM i GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20), k AS (SELECT i.* FROM i JOIN d USING (s)), p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM k a JOIN k b ON a.s = b.s AND a.id < b.id GROUP BY 1, 2 HAVING count(*) >= 50) SELECT a, b, shared, round(shared / x.n, 3) AS share_a, round(shared / y.n, 3) AS share_b, CASE WHEN least(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.9 THEN 'same_text' WHEN greatest(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.7 THEN 'same_sermon' WHEN greatest(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.2 THEN 'uncertain' ELSE 'none' END AS band FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b")
+@query("WITH w AS (SELECT doc_id AS id, list_filter(string_split(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT DISTINCT id, array_to_string(w[k:k+4], ' ') AS s FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS k FROM w)), n AS (SELECT id, count(*) AS n FROM i GROUP BY 1), d AS (SELECT s FROM i GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20), k AS (SELECT i.* FROM i JOIN d USING (s)), p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM k a JOIN k b ON a.s = b.s AND a.id < b.id GROUP BY 1, 2 HAVING count(*) >= 50) SELECT a, b, shared, round(shared / x.n, 3) AS share_a, round(shared / y.n, 3) AS share_b, CASE WHEN least(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.9 THEN 'same_text' WHEN greatest(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.7 THEN 'same_sermon' WHEN greatest(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.2 THEN 'uncertain' ELSE 'none' END AS band FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b JOIN documents da ON da.doc_id = a JOIN documents db ON db.doc_id = b WHERE da.source IS DISTINCT FROM db.source")
 def join_shingle_pairs(t):
+    """Texts of different sources that share many runs of words; copies inside one source say nothing."""
     i = write_table(_items(t.documents.where("text is not null").select("doc_id", "text"), "doc_id", norm.words(F.col("text")), 5), "items")
-    pairs = linkage.shared_pairs(i, 20, 50)
+    of = t.documents.select(F.col("doc_id").alias("id"), "source")
+    pairs = linkage.shared_pairs(i, 20, 50).join(of.select(F.col("id").alias("a"), F.col("source").alias("s_a")), "a").join(of.select(F.col("id").alias("b"), F.col("source").alias("s_b")), "b")
+    pairs = pairs.where(~F.col("s_a").eqNullSafe(F.col("s_b"))).select("a", "b", "shared")
     return linkage.with_containment(pairs, i.groupBy("id").agg(F.count("*").alias("n"))).select("a", "b", "shared", "share_a", "share_b", "band")
 
 
-@query("WITH g AS (SELECT md_id, coalesce(duplicate_of, path) AS g, len(string_split(coalesce(body, ''), ' ')) AS n FROM markdown), k AS (SELECT g, arg_max(md_id, (n, -md_id)) AS keeper, count(*) AS members FROM g GROUP BY 1) SELECT g.md_id, k.keeper FROM g JOIN k USING (g) WHERE k.members > 1 AND g.md_id <> k.keeper")
+_WORDS = "list_distinct(list_filter(string_split(regexp_replace(strip_accents(lower(body)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> ''))"
+_SUFFIX = r"[-_ ](?:livret|brochure|a4|a5|imprimable|print|booklet|v\d+)$"
+
+
+@query(f"WITH {WORKS}, g AS (SELECT md_id, regexp_replace(coalesce(duplicate_of, path), '{_SUFFIX}', '') AS g, {_WORDS} AS w FROM works WHERE body IS NOT NULL), k AS (SELECT g, arg_max(md_id, (len(w), -md_id)) AS keeper, count(*) AS members FROM g WHERE g IS NOT NULL GROUP BY 1) SELECT g.md_id, k.keeper, round(len(list_intersect(g.w, o.w)) / greatest(len(g.w), 1), 3) AS share, len(list_intersect(g.w, o.w)) / greatest(len(g.w), 1) >= 0.9 AS variant FROM g JOIN k USING (g) JOIN g o ON o.md_id = k.keeper WHERE k.members > 1 AND g.md_id <> k.keeper")
 def join_variant_group(t):
-    g = t.markdown.select("md_id", F.coalesce("duplicate_of", "path").alias("g"), F.size(F.split(F.coalesce("body", F.lit("")), " ")).alias("n"))
-    k = g.groupBy("g").agg(F.max_by("md_id", F.struct("n", -F.col("md_id"))).alias("keeper"), F.count("*").alias("members")).where("members > 1")
-    return g.join(k, "g").where("md_id <> keeper").select("md_id", "keeper")
+    """Layout variants: works of one path, suffixes of layouts apart, whose words the longest of them holds to 0.9."""
+    w = F.array_distinct(norm.words(F.col("body")))
+    g = write_table(t.works.where("body is not null").select("md_id", F.regexp_replace(F.coalesce("duplicate_of", "path"), _SUFFIX, "").alias("g"), w.alias("w")).where("g is not null"), "variants")
+    k = g.groupBy("g").agg(F.max_by("md_id", F.struct(F.size("w"), -F.col("md_id"))).alias("keeper"), F.count("*").alias("members")).where("members > 1").drop("members")
+    rows = g.join(k, "g").where("md_id <> keeper").join(g.select(F.col("md_id").alias("keeper"), F.col("w").alias("o")), "keeper")
+    share = F.size(F.array_intersect("w", "o")) / F.greatest(F.size("w"), F.lit(1))
+    return rows.select("md_id", "keeper", F.round(share, 3).alias("share"), (share >= 0.9).alias("variant"))
 
 
 @query(f"WITH {WORKS}, m AS (SELECT entry_id AS id, path, sermon_id, title FROM manifest), p AS (SELECT path, min(md_id) AS x FROM works WHERE path IS NOT NULL GROUP BY 1), s AS (SELECT sermon_id, min(md_id) AS x FROM works WHERE sermon_id IS NOT NULL GROUP BY 1), t AS (SELECT title, min(md_id) AS x FROM works WHERE title IS NOT NULL GROUP BY 1) SELECT m.id, coalesce(p.x, s.x, t.x) AS match, CASE WHEN p.x IS NOT NULL THEN 'path' WHEN s.x IS NOT NULL THEN 'sermon_id' WHEN t.x IS NOT NULL THEN 'title' ELSE 'unique' END AS tier FROM m LEFT JOIN p USING (path) LEFT JOIN s USING (sermon_id) LEFT JOIN t USING (title)")
@@ -153,10 +166,17 @@ def join_edge_props(t):
     return d.join(k.select(F.col("path").alias("record_id"), F.col("title").alias("title_a")), "record_id").join(k.select(F.col("path").alias("duplicate_of"), F.col("title").alias("title_b")), "duplicate_of").select("title_a", "title_b", "share")
 
 
-@query("SELECT md_id, b.n AS cached FROM markdown m LEFT JOIN (SELECT sha256(text) AS h, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1) b ON sha256(m.body) = b.h")
+@query("WITH c AS (SELECT DISTINCT sha256(text) AS h, lang AS model FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL), d AS (SELECT sha256(body) AS h FROM markdown WHERE body IS NOT NULL), m AS (SELECT unnest(['fr', 'en']) AS model) SELECT m.model, count(c.h) AS hits, count(*) - count(c.h) AS misses FROM m JOIN d ON true LEFT JOIN c ON c.h = d.h AND c.model = m.model GROUP BY 1")
 def join_cache(t):
-    c = t.documents.where("text is not null").groupBy(F.sha2("text", 256).alias("h")).agg(F.count("*").alias("cached"))
-    return t.markdown.select("md_id", F.sha2("body", 256).alias("h")).join(c, "h", "left").select("md_id", "cached")
+    """Texts whose vector the cache has, and those it lacks, for each of two models; the key is text and model."""
+    cache = t.documents.where("text is not null and lang is not null").select(F.sha2("text", 256).alias("content_hash"), F.col("lang").alias("model")).distinct().withColumn("vector", F.lit(None).cast("array<float>"))
+    docs = t.markdown.where("body is not null").select(F.sha2("body", 256).alias("content_hash"))
+    parts = []
+    for model in ("fr", "en"):
+        found, lacking = search.with_cache(docs, cache, model)
+        both = found.select(F.lit(1).alias("hit")).unionByName(lacking.select(F.lit(0).alias("hit")))
+        parts.append(both.agg(F.coalesce(F.sum("hit"), F.lit(0)).alias("hits"), (F.count("*") - F.coalesce(F.sum("hit"), F.lit(0))).alias("misses")).select(F.lit(model).alias("model"), "hits", "misses"))
+    return parts[0].unionByName(parts[1])
 
 
 @query("SELECT DISTINCT person FROM (SELECT unnest(persons) AS person FROM markdown) WHERE person IS NOT NULL AND person NOT IN (SELECT preacher FROM documents WHERE preacher IS NOT NULL)")
@@ -171,15 +191,20 @@ def join_self_ref(t):
     return w.where("original is not null").select("path", F.col("original").alias("o")).join(w.select(F.col("path").alias("o"), F.col("title").alias("original_title")), "o").drop("o")
 
 
-@query("SELECT pdf_url, min(path) AS path, count(DISTINCT path) AS posts, max(year) AS year FROM manifest WHERE pdf_url IS NOT NULL GROUP BY 1")
+@query(f"WITH {WORKS}, g AS (SELECT pdf_url, min(path) AS path, count(DISTINCT path) AS posts, max(year) AS year FROM manifest WHERE pdf_url IS NOT NULL GROUP BY 1) SELECT g.pdf_url, g.path, g.posts, g.year, w.title, w.status FROM g LEFT JOIN works w ON w.path = g.path")
 def join_triage_posts(t):
-    return t.manifest.where("pdf_url is not null").groupBy("pdf_url").agg(F.min("path").alias("path"), F.count_distinct("path").alias("posts"), F.max("year").alias("year"))
+    """Files by address with the post that offers them, where it is there."""
+    g = t.manifest.where("pdf_url is not null").groupBy("pdf_url").agg(F.min("path").alias("path"), F.count_distinct("path").alias("posts"), F.max("year").alias("year"))
+    return g.join(t.works.where("path is not null").select("path", "title", "status"), "path", "left").select("pdf_url", "path", "posts", "year", "title", "status")
 
 
-@query("SELECT pdf_url, any_value(path) AS page FROM (SELECT DISTINCT pdf_url, path FROM markdown WHERE pdf_url IS NOT NULL AND path IS NOT NULL) GROUP BY 1 HAVING count(*) = 1")
+@query(f"WITH {WORKS}, e AS (SELECT DISTINCT pdf_url, path, coalesce(duplicate_of, path) AS root FROM works WHERE pdf_url IS NOT NULL AND path IS NOT NULL), b AS (SELECT path FROM e GROUP BY 1 HAVING count(DISTINCT pdf_url) BETWEEN 1 AND 6), k AS (SELECT e.* FROM e JOIN b USING (path)) SELECT pdf_url, CASE WHEN count(DISTINCT path) = 1 THEN min(path) ELSE min(root) END AS page, CASE WHEN count(DISTINCT path) = 1 THEN 'only page' ELSE 'through duplicates' END AS how FROM k GROUP BY 1 HAVING count(DISTINCT path) = 1 OR count(DISTINCT root) = 1")
 def join_page_offers(t):
-    e = t.markdown.where("pdf_url is not null and path is not null").select("pdf_url", "path").distinct()
-    return e.groupBy("pdf_url").agg(F.min("path").alias("page"), F.count("*").alias("n")).where("n = 1").drop("n")
+    """The one page that offers a file: of pages with one to six files; of several, the one that all are copies of."""
+    e = t.works.where("pdf_url is not null and path is not null").select("pdf_url", "path", F.coalesce("duplicate_of", "path").alias("root")).distinct()
+    few = e.groupBy("path").agg(F.count_distinct("pdf_url").alias("n")).where("n between 1 and 6").select("path")
+    g = e.join(few, "path").groupBy("pdf_url").agg(F.min("path").alias("p"), F.max("path").alias("q"), F.min("root").alias("r"), F.max("root").alias("s"))
+    return g.where("p = q or r = s").select("pdf_url", F.when(F.expr("p = q"), F.col("p")).otherwise(F.col("r")).alias("page"), F.when(F.expr("p = q"), "only page").otherwise("through duplicates").alias("how"))
 
 
 @query("SELECT phrase, doc_id, ((length(low) - length(replace(low, phrase, ''))) // length(phrase))::BIGINT AS n FROM (SELECT doc_id, lower(text) AS low FROM documents WHERE text IS NOT NULL), (VALUES ('la lumière'), ('le berger'), ('the harvest')) p(phrase) WHERE contains(low, phrase)")
@@ -225,7 +250,9 @@ def align_diff_words(t):
 
 @query()
 def clean_page_headers(t):
-    d = t.markdown.where("source in ('mevar-pdfs', 'onedrive') and body is not null").select(F.col("md_id").alias("id"), F.col("body").alias("text"), F.col("body").alias("source"))
+    """Copies of texts without the page headers that their sources show to be none of the text."""
+    w = t.works.where("body is not null").select("md_id", "path", "duplicate_of", "body")
+    d = w.join(w.select(F.col("path").alias("duplicate_of"), F.col("body").alias("source")), "duplicate_of").select(F.col("md_id").alias("id"), F.col("body").alias("text"), "source")
     return align.aligned(d, "headers").select("id", F.length("text").alias("n"))
 
 
@@ -446,10 +473,13 @@ def fts_match(t):
     return search.match(search.postings(t.documents.where("text is not null"), "doc_id", "text"), ["lumiere", "berger"])
 
 
-@query(f"SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM (SELECT doc_id, unnest({_TOK}) AS term FROM documents WHERE text IS NOT NULL) GROUP BY 1")
+@query(f"SELECT term, lang, count(DISTINCT doc_id) AS df, count(*) AS cf, min(title) AS title FROM (SELECT doc_id, lang, title, unnest({_TOK}) AS term FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2")
 def sink_search_index(t):
-    p = search.postings(t.documents.where("text is not null"), "doc_id", "text")
-    return p.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    """Postings and documents with a filter and a title, written and read back: terms by language."""
+    at = f"{shared_dir(t.spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    index = search.write_index(t.documents.where("text is not null"), at, "doc_id", "text", ["lang"], ["title"])
+    p = index["postings"].join(index["documents"], "id")
+    return p.groupBy("term", "lang").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"), F.min("title").alias("title"))
 
 
 @query()

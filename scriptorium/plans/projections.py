@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import norm
@@ -140,15 +141,26 @@ def sink_quarantine(t):
     return bad.select("cite_id", F.when(F.col("ref_id").isNull(), "no reference").otherwise("unknown document").alias("reason"))
 
 
-@query(f"WITH {VISIBLE} SELECT path, title, date FROM visible WHERE source = 'mevar' ORDER BY date DESC NULLS LAST, path LIMIT 30")
+_XML = "replace(replace(replace(coalesce({}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_ITEM = f"'<item><title>' || {_XML.format('title')} || '</title><link>/' || {_XML.format('path')} || '</link><pubDate>' || coalesce(date, '') || '</pubDate></item>'"
+
+
+@query(f"WITH {VISIBLE}, n AS (SELECT * FROM visible WHERE source = 'mevar' ORDER BY date DESC NULLS LAST, path LIMIT 30) SELECT count(*) AS n, '<rss version=\"2.0\"><channel>' || string_agg({_ITEM}, '' ORDER BY date DESC NULLS LAST, path) || '</channel></rss>' AS feed FROM n")
 def sink_rss(t):
-    return t.visible.where("source = 'mevar'").select("path", "title", "date").orderBy(F.col("date").desc_nulls_last(), "path").limit(30)
+    """The feed document of the thirty newest works: one row, its size is given by the limit."""
+    newest = t.visible.where("source = 'mevar'").select("path", "title", "date").orderBy(F.col("date").desc_nulls_last(), "path").limit(30)
+    safe = lambda c: F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    item = F.concat(F.lit("<item><title>"), safe("title"), F.lit("</title><link>/"), safe("path"), F.lit("</link><pubDate>"), F.coalesce("date", F.lit("")), F.lit("</pubDate></item>"))
+    w = Window.orderBy(F.col("date").desc_nulls_last(), "path")  # thirty rows
+    items = newest.select(F.row_number().over(w).alias("k"), item.alias("x")).agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("i"))
+    return items.select(F.size("i").cast("long").alias("n"), F.concat(F.lit('<rss version="2.0"><channel>'), F.array_join(F.transform("i", lambda s: s["x"]), ""), F.lit("</channel></rss>")).alias("feed"))
 
 
-@query(f"WITH {WORKS} SELECT a.path AS old_path, b.path AS new_path FROM works a JOIN works b ON a.duplicate_of = b.path WHERE a.status IS DISTINCT FROM 'draft' AND b.status IS DISTINCT FROM 'draft'")
+@query(f"WITH {WORKS} SELECT a.path AS old_path, b.path AS new_path, '/' || a.path || ' /' || b.path || ' 301' AS rule FROM works a JOIN works b ON a.duplicate_of = b.path WHERE a.status IS DISTINCT FROM 'draft' AND b.status IS DISTINCT FROM 'draft'")
 def sink_redirect_rules(t):
     w = t.works.where(~F.col("status").eqNullSafe("draft"))
-    return w.select(F.col("path").alias("old_path"), F.col("duplicate_of").alias("new_path")).join(w.select(F.col("path").alias("new_path")), "new_path").select("old_path", "new_path")
+    pairs = w.select(F.col("path").alias("old_path"), F.col("duplicate_of").alias("new_path")).join(w.select(F.col("path").alias("new_path")), "new_path")
+    return pairs.select("old_path", "new_path", F.concat(F.lit("/"), "old_path", F.lit(" /"), "new_path", F.lit(" 301")).alias("rule"))
 
 
 @query("SELECT file_hash AS key, size_bytes AS size FROM manifest m WHERE file_hash IS NOT NULL AND NOT EXISTS (SELECT 1 FROM manifest o WHERE o.source = 'cmpp' AND o.file_hash = m.file_hash AND o.size_bytes = m.size_bytes)")

@@ -26,6 +26,11 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+def keep_until_exit(spark: SparkSession, path: str) -> None:
+    """A folder of our own that is deleted at exit."""
+    _written.append((spark, path))
+
+
 def write_table(df: DataFrame, label: str, codec: str = "lz4") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and lost executors cost nothing."""
     spark = df.sparkSession

@@ -6,8 +6,12 @@ All readers are lazy, take folders as well as files, and keep what they cannot r
 
 from __future__ import annotations
 
+import html
+import io
 import re
+import zipfile
 from collections.abc import Callable, Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -205,10 +209,31 @@ def binary_hash(spark: SparkSession, folder: str, pattern: str = "*.{pdf,docx}")
     return df.select("path", F.col("length").alias("size"), F.sha1("content").alias("hash"))
 
 
-def plugin(files: DataFrame, convert: Callable[[bytes], str]) -> DataFrame:
-    """``(path, text, error)`` of binary files through a converter given by the caller (PDF, OCR, DOCX).
+def _halves(content: bytes) -> tuple[bytes, bytes]:
+    """Two parts, cut behind a blank before the middle if there is one, never inside a character."""
+    mid = len(content) // 2
+    cut = max(content.rfind(b" ", 0, mid), content.rfind(b"\n", 0, mid)) + 1 or mid
+    while 0 < cut < len(content) and content[cut] & 0xC0 == 0x80:
+        cut -= 1
+    return content[:cut], content[cut:]
 
-    A file that the converter fails on gives its message instead of a text.
+
+def with_retry(convert: Callable[[bytes], str], content: bytes, depth: int) -> str:
+    """The converted text; if the converter fails, that of both halves, ``depth`` times over."""
+    try:
+        return convert(content)
+    except Exception:
+        parts = _halves(content)
+        if not depth or not all(parts):
+            raise
+        return "".join(with_retry(convert, p, depth - 1) for p in parts)
+
+
+def plugin(files: DataFrame, convert: Callable[[bytes], str], retries: int = 0) -> DataFrame:
+    """``(path, text, error)`` of binary files through a converter given by the caller (PDF, OCR, DOCX, a model).
+
+    A file that the converter fails on is tried again in ever smaller halves, ``retries`` times over; if that fails
+    too, it gives the message instead of a text.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -216,7 +241,7 @@ def plugin(files: DataFrame, convert: Callable[[bytes], str]) -> DataFrame:
             out = []
             for path, content in zip(pdf.path, pdf.content):
                 try:
-                    out.append((path, convert(bytes(content)), None))
+                    out.append((path, with_retry(convert, bytes(content), retries), None))
                 except Exception as e:
                     out.append((path, None, str(e)))
             yield pd.DataFrame(out, columns=["path", "text", "error"])
@@ -224,6 +249,36 @@ def plugin(files: DataFrame, convert: Callable[[bytes], str]) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, text string, error string")
 
 
+_WORD_NS = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+
+
+def docx_text(content: bytes) -> str:
+    """Text of a DOCX file: one line for each paragraph, tabs and breaks kept, ``_xHHHH_`` escapes decoded."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        root = ElementTree.fromstring(z.read("word/document.xml"))
+    lines = []
+    for p in root.iter(f"{_WORD_NS}p"):
+        now = []
+        for x in p.iter():
+            if x.tag == f"{_WORD_NS}t":
+                now.append(x.text or "")
+            elif x.tag in (f"{_WORD_NS}tab", f"{_WORD_NS}br"):
+                now.append("\t" if x.tag.endswith("tab") else "\n")
+        lines.append("".join(now))
+    return re.sub(r"_x([0-9A-F]{4})_", lambda m: chr(int(m[1], 16)), "\n".join(lines))
+
+
+def docx_file(text: str) -> bytes:
+    """The least DOCX file that holds a text, a paragraph for each line."""
+    escaped = re.sub(r"_(?=x[0-9A-F]{4}_)", "_x005F_", text)
+    escaped = re.sub("[\x00-\x08\x0b-\x1f\ufffe\uffff]", lambda m: f"_x{ord(m[0]):04X}_", escaped)
+    body = "".join(f'<w:p><w:r><w:t xml:space="preserve">{html.escape(x, False)}</w:t></w:r></w:p>' for x in escaped.split("\n"))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("word/document.xml", f'<?xml version="1.0" encoding="UTF-8"?><w:document xmlns:w="{_WORD_NS[1:-1]}"><w:body>{body}</w:body></w:document>')
+    return out.getvalue()
+
+
 def booklet_order(pages: int) -> list[tuple[int, int]]:
     """Left and right page of each printed side of a folded booklet of ``pages`` pages (a multiple of four)."""
     sides = []

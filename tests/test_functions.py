@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from scriptorium.sources import files
 from scriptorium.functions import align, norm, refs, similarity
 from scriptorium.functions import text as tx
 from scriptorium.plans import catalogue
@@ -161,3 +162,22 @@ def test_whole_bodies_and_pages(spark, tmp_path):
     spark.createDataFrame(list(enumerate(pages)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     want = {0: "a&b", 1: "Ω xy <i> &lt;", 2: "œ — “q”", 3: "x\"'’", 4: ""}
     assert dict(map(tuple, catalogue.QUERIES["txt_html_to_text"](spark, str(tmp_path)).collect())) == want
+
+
+def test_docx_round_trip():
+    for text in ("", "Été <b>&amp;</b>\n\nfin\t.", "\r\x07_x0041_ \ufffe", "a" * 10_000):
+        assert files.docx_text(files.docx_file(text)) == text
+
+
+def test_retry_in_halves():
+    def small(content):
+        if len(content) > 5:
+            raise ValueError("too long")
+        return content.decode()
+
+    text = "un été à la mer, très très long"
+    assert files.with_retry(small, text.encode(), 30) == text
+    with pytest.raises(ValueError):
+        files.with_retry(small, text.encode(), 1)
+    with pytest.raises(UnicodeDecodeError):
+        files.with_retry(lambda b: b.decode(), b"\xff", 5)

@@ -172,3 +172,23 @@ def test_highlight_of_texts_with_accents(spark, tmp_path):
     want = {k: "".join(f"**{w}**" if w.lower() in ("lumi", "berger") else w for w in words(x)) for k, x in enumerate(texts) if x and "berger" in map(str.lower, words(x))}
     assert {r.doc_id: r.text for r in catalogue.QUERIES["fts_highlight"](spark, str(tmp_path)).collect()} == want
     assert set(want) == {0, 4, 5, 8}
+
+
+def test_ranks_and_neighbours_of_large_groups(spark):
+    from scriptorium.operators import windows
+
+    rows = [("g", k, f"i{k:03d}") for k in range(50)] + [("h", None, "a"), ("h", 1, "b"), (None, 1, "c")]
+    df = spark.createDataFrame(rows, "grp string, day int, item string").repartition(5)
+    got = {r.item: (r.previous, r.next) for r in windows.prev_next(df, "grp", [F.col("day").asc_nulls_last(), F.col("item")], "item").collect()}
+    assert got["i000"] == (None, "i001") and got["i049"] == ("i048", None) and got["b"] == (None, "a") and got["a"] == ("b", None) and got["c"] == (None, None)
+    after = {(r.item, r.step): r.follower for r in windows.next_circular(df.where("grp is not null"), "grp", [F.col("day").asc_nulls_last(), F.col("item")], "item").collect()}
+    assert after["i049", 1] == "i000" and after["i048", 2] == "i000" and after["b", 1] == "a" and ("b", 2) not in after
+
+
+def test_written_index_reads_only_the_terms(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "La lampe, la nuit", "fr", "x"), (2, "the lamp", "en", None), (3, "", "fr", "z")], "doc_id long, text string, lang string, title string")
+    index = search.write_index(docs, str(tmp_path / "index"), "doc_id", "text", ["lang"], ["title"])
+    found = index["postings"].where("term = 'la'")
+    assert [tuple(r) for r in found.collect()] == [("la", 1, 2)]
+    assert "EqualTo(term,la)" in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.id: r.len for r in index["documents"].collect()} == {1: 4, 2: 2, 3: 0}
