@@ -9,7 +9,8 @@ tokens deciding;
 half or more of a nickname's family names also stand beside one other, more frequent given name.  A link is scored by the rarity of its rewriting, one
 over the number of entities that have the form: a form that several entities share links to none of them.
 
-Scale.  Everything works on distinct names.  All joins are on exact forms; no two names are compared that share none.
+Scale.  Everything works on distinct names.  All joins are on exact forms of the whole name, as hashes; no two names
+are compared that share none, and names without a telling given part meet their family's entities as one number.
 """
 
 from __future__ import annotations
@@ -156,6 +157,39 @@ def _roots(forms: DataFrame, group: str, word: str) -> DataFrame:
     return best.join(again, ["g", "root"], "left").select(F.col("g").alias(group), F.col("w").alias(word), F.coalesce("higher", "root").alias("root"))
 
 
+def _entity_forms(given: str, family: str, learned: str | None) -> set[str]:
+    """Whole forms under which an entity may be written: family with an error at most, and a form of the given name."""
+    plain = given.replace("-", "")
+    said = {f"n {d}" for d in deletions(given)} | {f"i {initials(given)}"} | {f"p {plain[:k]}" for k in range(2, len(plain) + 1)}
+    return {f"{d}|{s}" for d in deletions(family) for s in said}
+
+
+def _asked_forms(given: str, family: str, learned: str | None) -> set[str]:
+    """The forms that a reading of a name stands for, as far as they say much of the given name."""
+    bare = given.rstrip(".")
+    said = {f"n {d}" for d in deletions(bare)} if bare else set()
+    if learned:
+        said.add(f"n {learned}")
+    if "." in given:
+        said.add(f"i {given}")
+        if len(bare) > 1:
+            said.add(f"p {bare.replace('-', '')}")
+    return {f"{d}|{s}" for d in deletions(family) for s in said}
+
+
+def _forms(f):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, out = [], []
+            for i, g, n, w in zip(*(b.column(k).to_pylist() for k in range(4))):
+                forms = f(g, n, w)
+                at += [i] * len(forms)
+                out += forms
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(out, pa.string())], names=["a", "form"])
+
+    return run
+
+
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of ``name, given, family, g, f, learned`` the sure ones with their score."""
     for b in batches:
@@ -201,13 +235,23 @@ def person_entities(names: DataFrame) -> DataFrame:
     alone = truth.groupBy("f").agg(F.count("*").alias("c"), F.first("g").alias("g")).where("c = 1").select(F.col("f").alias("family"), "g")
     votes = plain.join(alone, "family").where("given <> g").groupBy("given", "g").agg(F.count_distinct("family").alias("c"))
     top = votes.groupBy("given").agg(F.max_by("g", "c").alias("learned"), F.max("c").alias("c"), F.sum("c").alias("all")).where("c >= 0.6 * all")
-    keyed = truth.mapInArrow(_explode_deletions(1, ["g", "f"]), "g string, f string, key string")
-    asked = read.select("name", "given", "family").mapInArrow(_explode_deletions(2, ["name", "given", "family"]), "name string, given string, family string, key string")
-    tried = asked.join(keyed, "key").join(top.select("given", "learned"), "given", "left").select("name", "given", "family", "g", "f", "learned").distinct()
-    sure = tried.mapInArrow(_agree, "name string, g string, f string, score int").groupBy("name", "g", "f").agg(F.max("score").alias("score"))
+    # forms that say much of the given name: whole forms of both sides are exploded and equi-joined
+    asked = read.select("name", "given", "family").distinct().join(top.select("given", "learned"), "given", "left").select("name", "given", "family", "learned")
+    asked = write_table(asked.withColumn("a", F.monotonically_increasing_id()), "asked")
+    truth = write_table(truth.withColumn("e", F.monotonically_increasing_id()), "truth")
+    x = asked.select("a", "given", "family", "learned").mapInArrow(_forms(_asked_forms), "a long, form string").select("a", F.xxhash64("form").alias("form"))
+    y = truth.select("e", "g", "f", F.lit(None).cast("string").alias("learned")).mapInArrow(_forms(_entity_forms), "a long, form string").select(F.col("a").alias("e"), F.xxhash64("form").alias("form"))
+    tried = x.join(y, "form").select("a", "e").distinct().join(asked, "a").join(truth, "e").select("name", "given", "family", "g", "f", "learned")
+    sure = tried.mapInArrow(_agree, "name string, g string, f string, score int").groupBy("name", "g", "f").agg(F.max("score").alias("score")).withColumn("weight", F.lit(1))
+    # forms that say little (no given name, a title or an unknown word) fit all entities of the family alike, so their number will do
+    of = truth.groupBy("f").agg(F.count("*").alias("weight"), F.min("g").alias("g"))
+    little = F.when(F.col("given").isin("", "m."), 2).when(~F.contains("given", F.lit(".")) & F.col("learned").isNull(), 1)
+    weak = asked.withColumn("s", little).where("s is not null").select("name", F.col("family").alias("f"), "s").join(of, "f")
+    weak = weak.select("name", F.when(F.col("weight") == 1, F.col("g")).alias("g"), "f", (2 * F.col("s") + 1).alias("score"), F.col("weight").cast("int").alias("weight"))
+    sure = sure.unionByName(weak).groupBy("name", "g", "f").agg(F.max("score").alias("score"), F.max("weight").alias("weight"))
     # rarity: of the best rewritings of a name, one must lead to a single entity
     w = Window.partitionBy("name")
-    best = sure.withColumn("top", F.max("score").over(w)).where("score = top").withColumn("rarity", 1 / F.count("*").over(w)).where("rarity = 1")
+    best = sure.withColumn("top", F.max("score").over(w)).where("score = top").withColumn("rarity", 1 / F.sum("weight").over(w)).where("rarity = 1")
     return best.select("name", F.concat_ws(" ", "g", "f").alias("entity"), "score")
 
 
