@@ -111,13 +111,16 @@ def latest_values(rows: DataFrame, group: str, value: str, at: str, learned: Dat
     # smaller values win ties: of those with the same best order the least is taken
     timed = kept.where("t is not null")
     known = timed.select("kind", "g").distinct()
-    untimed = kept.where("t is null").join(known, ["kind", "g"], "left_anti").join(levels(learned), ["kind", "v"], "left")
+    untimed = kept.where("t is null").join(known, ["kind", "g"], "left_anti")
 
     def best(df: DataFrame, order: Column) -> DataFrame:
         per = df.groupBy("kind", "g", order.alias("o")).agg(F.min("v").alias("v"))
         return per.groupBy("kind", "g").agg(F.max_by("v", "o").alias("v"))
 
-    out = best(timed, F.struct("t", "k")).unionByName(best(untimed, F.struct(F.coalesce("level", F.lit(-1)), F.col("k"))))
+    out = best(timed, F.struct("t", "k"))
+    if not untimed.isEmpty():
+        placed = untimed.join(levels(learned), ["kind", "v"], "left")
+        out = out.unionByName(best(placed, F.struct(F.coalesce("level", F.lit(-1)), F.col("k"))))
     return out.select("kind", F.col("g").alias(group), F.col("v").alias(value))
 
 
