@@ -241,7 +241,7 @@ def person_entities(names: DataFrame) -> DataFrame:
     truth = write_table(truth.withColumn("e", F.monotonically_increasing_id()), "truth")
     x = asked.select("a", "given", "family", "learned").mapInArrow(_forms(_asked_forms), "a long, form string").select("a", F.xxhash64("form").alias("form"))
     y = truth.select("e", "g", "f", F.lit(None).cast("string").alias("learned")).mapInArrow(_forms(_entity_forms), "a long, form string").select(F.col("a").alias("e"), F.xxhash64("form").alias("form"))
-    tried = x.join(y, "form").select("a", "e").distinct().join(asked, "a").join(truth, "e").select("name", "given", "family", "g", "f", "learned")
+    tried = x.join(y.hint("merge"), "form").select("a", "e").distinct().join(asked, "a").join(truth, "e").select("name", "given", "family", "g", "f", "learned")
     sure = tried.mapInArrow(_agree, "name string, g string, f string, score int").groupBy("name", "g", "f").agg(F.max("score").alias("score")).withColumn("weight", F.lit(1))
     # forms that say little (no given name, a title or an unknown word) fit all entities of the family alike, so their number will do
     of = truth.groupBy("f").agg(F.count("*").alias("weight"), F.min("g").alias("g"))
