@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,21 +24,35 @@ def fingerprint_distinct(text: Column, n: int = 200) -> Column:
     return F.slice(F.array_distinct(norm.words_accented(text)), 1, n)
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with ``value`` made once: inside a lambda, Spark makes whatever is no variable again for each element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _run(words: Column, k: Column, width: int) -> Column:
+    """The ``width`` words from the ``k``-th on, counted from 0."""
+    return F.concat_ws(" ", *[F.get(words, k + j) for j in range(width)])
+
+
+def _runs(words: Column, width: int, edges: Column | None = None) -> Column:
+    """All runs of ``width`` words, or those whose first and last words are ``edges``; all of them variables."""
+    n = F.size(words) - width
+    first = F.sequence(F.lit(0), n)
+    if edges is not None:
+        first = F.filter(first, lambda k: F.get(edges, k) & F.get(edges, k + (width - 1)))
+    return F.when(n >= 0, F.transform(first, lambda k: _run(words, k, width))).otherwise(F.array().cast("array<string>"))
+
+
 def shingles(words: Column, width: int = 5) -> Column:
     """Distinct runs of ``width`` words; none of shorter texts."""
-    n = F.size(words) - width + 1
-    runs = F.transform(F.sequence(F.lit(1), n), lambda k: F.array_join(F.slice(words, k, width), " "))
-    return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(_once(words, lambda w: _runs(w, width)))
 
 
-def ngrams(words: Column, width: int) -> Column:
-    """Phrases of ``width`` words without elisions, whose first and last words have four letters and are no stop words."""
-    bare = F.filter(F.transform(words, lambda w: F.regexp_replace(w, ELIDED, "")), lambda w: F.length(w) > 1)
-    n = F.size(bare) - width + 1
+def ngrams(words: Column, *widths: int) -> Column:
+    """Phrases of ``widths`` words without elisions, whose first and last words have four letters and are no stop words."""
+    bare = F.filter(F.transform(words, lambda w: F.when(F.contains(w, F.lit("'")), F.regexp_replace(w, ELIDED, "")).otherwise(w)), lambda w: F.length(w) > 1)
     edge = lambda w: (F.length(w) >= 4) & ~w.isin(STOP)
-    runs = F.transform(F.sequence(F.lit(1), n), lambda k: F.slice(bare, k, width))
-    kept = F.filter(runs, lambda r: edge(r[0]) & edge(r[width - 1]))
-    return F.when(n > 0, F.transform(kept, lambda r: F.array_join(r, " "))).otherwise(F.array().cast("array<string>"))
+    return _once(bare, lambda b: _once(F.transform(b, edge), lambda e: F.concat(*[_runs(b, n, e) for n in widths])))
 
 
 def stems(words: Column) -> Column:

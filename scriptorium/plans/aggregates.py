@@ -90,7 +90,7 @@ def agg_hash_groups(t):
 @query()
 def agg_doc_freq(t):
     words = F.split(F.trim(F.regexp_replace(F.lower("body"), "[^a-zà-ÿ']+", " ")), " ")
-    return spread(t.markdown.where("body is not null").select("body")).select(F.explode(F.array_distinct(F.concat(similarity.ngrams(words, 2), similarity.ngrams(words, 3)))).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("df")).where("df >= 8")
+    return spread(t.markdown.where("body is not null").select("body")).select(F.explode(F.array_distinct(similarity.ngrams(words, 2, 3))).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("df")).where("df >= 8")
 
 
 @query("WITH i AS (SELECT DISTINCT md_id, tag FROM (SELECT md_id, unnest(tags) AS tag FROM markdown)) SELECT md_id, tag FROM i WHERE tag IN (SELECT tag FROM i GROUP BY 1 HAVING count(*) <= 20)")

@@ -36,3 +36,14 @@ def test_filters_reach_the_scan(spark, name, pushed):
 def test_bodies_are_not_read(spark, name):
     schemas = re.findall(r"ReadSchema: struct<([^\n]*)>", plan(spark, name))
     assert schemas and not any("body:" in s for s in schemas)
+
+
+# what is made of a whole text, and how often the plan says it (norm.words says its text three times); more often, or
+# inside a lambda over the words, it is made for each word
+SAID = {"agg_doc_freq": {"[^a-zà-ÿ']+": 1, "lorsqu|puisqu": 1}}
+
+
+@pytest.mark.parametrize("name", sorted(SAID))
+def test_words_are_made_once(spark, name):
+    text = plan(spark, name)
+    assert {x: text.count(x) for x in SAID[name]} == SAID[name]
