@@ -318,7 +318,8 @@ def tok_fingerprint(t):
 @query("WITH w AS (SELECT md_id, list_filter(string_split(regexp_replace(strip_accents(lower(body)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM markdown WHERE body IS NOT NULL) SELECT md_id, count(DISTINCT array_to_string(w[k:k+4], ' ')) AS n FROM (SELECT md_id, w, unnest(range(1, len(w) - 3)) AS k FROM w) GROUP BY 1")
 def tok_shingles(t):
     d = spread(t.markdown.where("body is not null").select("md_id", "body")).select("md_id", norm.words(F.col("body")).alias("w"))
-    return d.select("md_id", F.size(similarity.shingles(F.col("w"))).cast("long").alias("n")).where("n > 0")
+    n = F.size(similarity.shingles(F.col("w"))).cast("long")
+    return d.select("md_id", F.explode(F.filter(F.array(n), lambda k: k > 0)).alias("n"))  # a filter on n would make n twice
 
 
 @query()
