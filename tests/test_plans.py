@@ -40,7 +40,7 @@ def test_bodies_are_not_read(spark, name):
 
 # what is made of a whole text, and how often the plan says it (norm.words says its text three times); more often, or
 # inside a lambda over the words, it is made for each word
-SAID = {"agg_doc_freq": {"[^a-zà-ÿ']+": 1, "lorsqu|puisqu": 1}, "tok_shingles": {"[^a-z0-9]+": 3}}
+SAID = {"agg_doc_freq": {"[^a-zà-ÿ']+": 1, "lorsqu|puisqu": 1}, "tok_shingles": {"[^a-z0-9]+": 3}, "tok_ngrams": {"lorsqu|puisqu": 1}}
 
 
 @pytest.mark.parametrize("name", sorted(SAID))
