@@ -38,16 +38,119 @@ def with_containment(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.withColumn("band", sim.band(F.col("share_a"), F.col("share_b")))
 
 
+#: Items that most records hold, as bits of every record.
+COMMON = 256
+#: Records of either side that one task compares at most, and least parts of either side.
+LEFT_ROWS, RIGHT_ROWS, LEFT_PARTS, RIGHT_PARTS = 1 << 17, 1 << 18, 4, 6
+_SET = "side int, id long, n int, common binary, rest array<long>"
+
+
+def _sets(common: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets of items as bits of the ``common`` ones, which are in order, and a list of the rest."""
+    for b in batches:
+        b = b.filter(pc.greater(pc.list_value_length(b.column(2)), 0))  # noqa: PLW2901
+        items = b.column(2)
+        n = pc.list_value_length(items).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, owner = items.flatten().to_numpy(), np.repeat(np.arange(len(n)), n)
+        at = np.minimum(np.searchsorted(common, flat), len(common) - 1)
+        is_common = common[at] == flat
+        bits = np.zeros((len(n), COMMON), bool)
+        bits[owner[is_common], at[is_common]] = True
+        cut = np.r_[0, np.cumsum(np.bincount(owner[~is_common], minlength=len(n)))].astype(np.int32)
+        rest = pa.ListArray.from_arrays(pa.array(cut), pa.array(flat[~is_common]))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n.astype(np.int32)), pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary()), rest], names=["side", "id", "n", "common", "rest"])
+
+
+class _Side:
+    """Sets of one side in the order of their sizes; ``code`` numbers what is not common."""
+
+    def __init__(self, t: pa.Table):
+        t = t.sort_by("n")
+        self.id, self.n = t["id"].to_numpy(), t["n"].to_numpy().astype(np.int64)
+        self.common = np.frombuffer(b"".join(t["common"].to_pylist()), np.uint8).reshape(len(t), COMMON // 8)
+        self.rest = pc.list_value_length(t["rest"]).to_numpy().astype(np.int64)
+        self.first = np.cumsum(self.rest) - self.rest
+        self.items = pc.list_flatten(t["rest"]).to_numpy()
+
+    def keys(self, rows: np.ndarray) -> np.ndarray:
+        """For each of ``rows`` the codes of its rest, below the place in ``rows``."""
+        n = self.rest[rows]
+        k = np.repeat(np.arange(len(rows)), n)
+        return k << 32 | self.code[np.repeat(self.first[rows], n) + np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)]
+
+
+def _best_in(left: _Side, right: _Side, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``left`` the largest similarity, and the smallest id of ``right`` that has it; 0 where none reaches ``least``.
+
+    A pair must share ``part`` of the sum of both sizes; it shares at most the common items of both, which a product of
+    matrices counts, and the rest of the smaller rest.  Only where that is enough the rests are compared.
+    """
+    part = least / (1 + least)
+    _, code = np.unique(np.r_[left.items, right.items], return_inverse=True)
+    left.code, right.code = code[: len(left.items)], code[len(left.items) :]
+    best, to = np.zeros(len(left.n)), np.zeros(len(left.n), np.int64)
+    one = lambda n: np.ones((n, 1), np.float32)
+    for r0 in range(0, len(right.n), 4096):
+        r = slice(r0, r0 + 4096)
+        rn, rr = right.n[r], right.rest[r]
+        b = np.hstack([np.unpackbits(right.common[r], axis=1).astype(np.float32), one(len(rn)), (-part * rn)[:, None].astype(np.float32)]).T
+        for l0 in range(0, len(left.n), 1024):
+            own = slice(l0, l0 + 1024)
+            ln, lr = left.n[own], left.rest[own]
+            if ln[-1] < least * rn[0] or rn[-1] < least * ln[0]:
+                continue
+            a = np.hstack([np.unpackbits(left.common[own], axis=1).astype(np.float32), (lr - part * ln)[:, None].astype(np.float32), one(len(ln))])
+            score = (a @ b).ravel()  # common items and the rest of the left set, less what is needed
+            hit = np.flatnonzero(score >= -0.01)
+            i, j = hit // len(rn), hit % len(rn)
+            both = np.rint(score[hit] - lr[i] + part * (ln[i] + rn[j])).astype(np.int64)
+            enough = both + np.minimum(lr[i], rr[j]) >= part * (ln[i] + rn[j]) - 0.01
+            i, j, both = i[enough], j[enough], both[enough]
+            if not len(i):
+                continue
+            keys = np.r_[left.keys(l0 + i), right.keys(r0 + j)]
+            keys.sort()
+            both += np.bincount(keys[1:][keys[1:] == keys[:-1]] >> 32, minlength=len(i))
+            like = both / (ln[i] + rn[j] - both)
+            enough = like >= least
+            i, like, other = l0 + i[enough], like[enough], right.id[r0 + j[enough]]
+            order = np.lexsort((other, -like, i))
+            order = order[np.r_[True, i[order][1:] != i[order][:-1]]] if len(order) else order
+            i, like, other = i[order], like[order], other[order]
+            better = (like > best[i]) | ((like == best[i]) & (other < to[i]))
+            best[i[better]], to[i[better]] = like[better], other[better]
+    return best, to
+
+
 def jaccard_best(left: DataFrame, right: DataFrame, least: float = 0.5) -> DataFrame:
-    """``(id, best, similarity)``: for each left record the right one most like it, if at least ``least``.
+    """``(id, best, similarity)``: for each left record the right one most like it, if at least ``least``, which is above 0.
 
-    Both are ``(id, item)`` of distinct items; ties go to the smaller id.
+    Both are ``(id, items)`` of distinct items, which are integers; ties go to the smaller id.  Sets of common words all
+    meet each other, so an index of items lists as many pairs as there are; here parts of both sides meet in one
+    task each and only the best of each record leaves it.  Time grows with the product of both sides, disk does not.
     """
-    n_left = left.groupBy("id").agg(F.count("*").alias("n_l"))
-    n_right = right.groupBy("id").agg(F.count("*").alias("n_r")).withColumnRenamed("id", "other")
-    both = left.join(right.select(F.col("id").alias("other"), "item"), "item").groupBy("id", "other").agg(F.count("*").alias("both"))
-    scored = both.join(n_left, "id").join(n_right, "other").withColumn("similarity", F.col("both") / (F.col("n_l") + F.col("n_r") - F.col("both")))
-    return scored.where(F.col("similarity") >= least).groupBy("id").agg(F.max_by("other", F.struct("similarity", -F.col("other"))).alias("best"), F.max("similarity").alias("similarity"))
+    rows = left.select(F.lit(0).alias("side"), "id", "items").unionByName(right.select(F.lit(1).alias("side"), "id", "items"))
+    table, n = write_counted(rows.where("id is not null"), "sets", left=F.count_if(F.col("side") == 0), right=F.count_if(F.col("side") == 1))
+    top = table.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "item").limit(COMMON).collect()
+    common = np.array(sorted(r.item for r in top) or [0], np.int64)
+    parts = [max(LEFT_PARTS, -(-n["left"] // LEFT_ROWS)), max(RIGHT_PARTS, -(-n["right"] // RIGHT_ROWS))]
+    own = F.when(F.col("side") == 0, F.pmod(F.xxhash64("id"), F.lit(parts[0]))).otherwise(F.pmod(F.xxhash64("id"), F.lit(parts[1])))
+    all_of = lambda k: F.sequence(F.lit(0), F.lit(k - 1))
+    cells = F.when(F.col("side") == 0, F.transform(all_of(parts[1]), lambda k: own * parts[1] + k)).otherwise(F.transform(all_of(parts[0]), lambda k: k * parts[1] + own))
+    met = table.mapInArrow(lambda it: _sets(common, it), _SET).withColumn("cell", F.explode(cells)).withColumn("cell", F.col("cell").cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        t = pa.Table.from_batches(got) if got else None
+        for cell in pc.unique(t["cell"]).to_pylist() if got else []:
+            here = t.filter(pc.equal(t["cell"], cell))
+            a, b = (_Side(here.filter(pc.equal(here["side"], k))) for k in range(2))
+            best, to = _best_in(a, b, least)
+            some = best > 0
+            yield pa.RecordBatch.from_arrays([pa.array(a.id[some]), pa.array(to[some]), pa.array(best[some])], names=["id", "best", "similarity"])
+
+    found = met.repartitionById(parts[0] * parts[1], "cell").mapInArrow(run, "id long, best long, similarity double")
+    return found.groupBy("id").agg(F.max_by("best", F.struct("similarity", -F.col("best"))).alias("best"), F.max("similarity").alias("similarity"))
 
 
 def tiers(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

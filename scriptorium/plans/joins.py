@@ -63,14 +63,15 @@ def join_strong_range(t):
 
 def _items(df, id_col, words, width):
     """Distinct fingerprint items of the texts."""
-    return linkage.exploded(spread(df).select(id_col, words.alias("w")), id_col, similarity.shingles(F.col("w"), width) if width > 1 else F.array_distinct("w"))
+    return linkage.exploded(spread(df).select(id_col, words.alias("w")), id_col, similarity.shingles(F.col("w"), width))
 
 
 @query()
 def join_jaccard_best(t):
     d = t.markdown.where("body is not null").select("md_id", "source", "body")
-    fp = similarity.fingerprint(F.col("body"))
-    return linkage.jaccard_best(_items(d.where("source = 'mevar-pdfs'"), "md_id", fp, 1), _items(d.where("source = 'mevar'"), "md_id", fp, 1), 0.5)
+    items = F.transform(similarity.fingerprint(F.col("body")), lambda w: F.xxhash64(w))
+    of = lambda source: spread(d.where(F.col("source") == source)).select(F.col("md_id").alias("id"), items.alias("items"))
+    return linkage.jaccard_best(of("mevar-pdfs"), of("mevar"), 0.5)
 
 
 @query("WITH w AS (SELECT doc_id AS id, list_filter(string_split(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT DISTINCT id, array_to_string(w[k:k+4], ' ') AS s FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS k FROM w)), n AS (SELECT id, count(*) AS n FROM i GROUP BY 1), d AS (SELECT s FROM i GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20), k AS (SELECT i.* FROM i JOIN d USING (s)), p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM k a JOIN k b ON a.s = b.s AND a.id < b.id GROUP BY 1, 2 HAVING count(*) >= 50) SELECT a, b, shared, round(shared / x.n, 3) AS share_a, round(shared / y.n, 3) AS share_b, CASE WHEN least(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.9 THEN 'same_text' WHEN greatest(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.7 THEN 'same_sermon' WHEN greatest(round(shared / x.n, 3), round(shared / y.n, 3)) >= 0.2 THEN 'uncertain' ELSE 'none' END AS band FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b JOIN documents da ON da.doc_id = a JOIN documents db ON db.doc_id = b WHERE da.source IS DISTINCT FROM db.source")

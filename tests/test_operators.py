@@ -1,3 +1,4 @@
+import random
 import unicodedata
 
 import pytest
@@ -192,3 +193,25 @@ def test_written_index_reads_only_the_terms(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [("la", 1, 2)]
     assert "EqualTo(term,la)" in found._jdf.queryExecution().executedPlan().toString()
     assert {r.id: r.len for r in index["documents"].collect()} == {1: 4, 2: 2, 3: 0}
+
+
+def test_most_alike_by_parts(spark):
+    """As all pairs compared one by one, ties, empty and null sets included; no pair of records is written for a shared item."""
+    rng = random.Random(5)
+    weights = [1 / (k + 3) for k in range(900)]
+    some = lambda: set(rng.choices(range(900), weights, k=rng.randint(0, 90)))
+    near = lambda s: {x for x in s if rng.random() < 0.85} | set(rng.choices(range(900), k=len(s) // 6))
+    right = {k: some() for k in range(500)}
+    right |= {k + 1000: right[k] for k in range(40)}  # ties
+    left = {k: near(right[k]) if k % 2 else some() for k in range(300)}
+    df = lambda sets: spark.createDataFrame([*((k, [x * 7919 - 1000 for x in s]) for k, s in sets.items()), (5000, None)], "id long, items array<long>")
+    want = {}
+    for k, s in left.items():
+        like, other = max(((len(s & o) / len(s | o), -i) for i, o in right.items() if s | o), default=(0, 0))
+        if like >= 0.5:
+            want[k] = (-other, like)
+    assert len(want) > 50
+    out = linkage.jaccard_best(df(left), df(right), 0.5)
+    assert {r.id: (r.best, r.similarity) for r in out.collect()} == want
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert linkage.jaccard_best(df(left), df({}), 0.5).isEmpty()
