@@ -1,16 +1,15 @@
 """Keyword-stuffed pages, link lists and tag lists (problem 10), by a word-class n-gram model of prose.
 
 Method.  Nothing about any language is listed.  A first pass finds the function words of each language by their
-distribution: words that stand in a fair share of the sentences of its documents.  A second pass counts, over all texts
-but a held-out tenth, which of them follow which at a distance of one and of two words; words that keep the same
-company form a word class (k-means over their neighbours).  All other words are classed by shape: by length, figures,
-codes, parts of links, tags or mark-up, and ends of sentences; a word that comes again within ``NEAR`` words more often
-than its frequency in prose explains is classed as repeated.  Two models score every word: the classes of function
-words with interpolated bigrams at both distances, and trigrams of shapes alone, which know prose of a language that the
-corpus does not have.  A word is junk if its surroundings are abnormally improbable, or abnormally probable, under both;
-what is abnormal is measured on the prose of the held-out tenth.  A text is junk when more than half of its white-space
-separated words are.  A sentence that says again what an earlier one of the same text said (a refrain) counts as the
-earlier one did.
+distribution: words that stand in a fair share of the sentences of its documents.  A second pass counts, over all texts,
+which of them follow which at a distance of one and of two words; words that keep the same company form a word class
+(k-means over their neighbours).  All other words are classed by shape: by length, figures, codes, parts of links, tags
+or mark-up, and ends of sentences; a word that comes again within ``NEAR`` words more often than its frequency in prose
+explains is classed as repeated.  Two models score every word: the classes of function words with interpolated bigrams
+at both distances, and trigrams of shapes alone, which know prose of a language that the corpus does not have.  A word
+is junk if its surroundings are abnormally improbable, or abnormally probable, under both; what is abnormal is measured
+on the prose of all texts.  A text is junk when more than half of its white-space separated words are.  A sentence that
+says again what an earlier one of the same text said (a refrain) counts as the earlier one did.
 
 Scale.  Word frequencies are one aggregate over all texts; what is kept of it is bounded, as at most a few words can
 stand in ``FAIR`` of a language's sentences.  Counts of neighbours, shapes and scores are of fixed size.  The second
@@ -45,8 +44,6 @@ NEAR, REACH = 24, 10
 ODD, PLAIN = 5.0, 12.0
 #: The worst that a word may say of its surroundings, so that one odd word is no more than that; and of a figure.
 WORST, FIGURE = -5.0, -2.5
-#: One document in so many is held out to measure what is normal.
-HELD_OUT = 10
 
 TINY, SHORT, MIDDLE, LONG, AGAIN, OFTEN, NUMBER, CODE, LINK, TAG, MARKUP, END = range(12)
 SHAPES = 12
@@ -295,20 +292,20 @@ def _coded(texts: list[str], lexicon: Lexicon) -> Coded:
 
 
 def _count(lexicon: Lexicon, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Coded texts, and at the end what was counted over those that are not held out."""
+    """Coded texts, and at the end what was counted over them."""
     m = len(lexicon.hashes) + SHAPES
     near, far, tri = np.zeros(m * m), np.zeros(m * m), np.zeros(SHAPES**3)
     names = [x.split(" ")[0] for x in _CODED.split(", ")]
     kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64())
     for b in batches:
-        ids, texts, held = b.column(0), [t or "" for t in b.column(1).to_pylist()], b.column(2).to_numpy(zero_copy_only=False)
+        ids, texts = b.column(0), [t or "" for t in b.column(1).to_pylist()]
         symbols, marks = [], []
         for lo, hi in shingles.chunks(texts):
             x = _coded(texts[lo:hi], lexicon)
             cut = np.r_[0, np.cumsum(x.counts)]
             symbols += [x.symbols[i:j].tobytes() for i, j in zip(cut, cut[1:])]
             marks += [x.marks[i:j].tobytes() for i, j in zip(cut, cut[1:])]
-            of = ((x.marks & PROSE) > 0) & ~np.repeat(held[lo:hi], x.counts)
+            of = (x.marks & PROSE) > 0
             seq, place = x.sequence(x.symbols)
             p = place[of]
             p = np.r_[p, place[((x.marks & ENDS) > 0) & of] + 1]  # the end of the sentence as well
@@ -417,14 +414,14 @@ def _normal(n: np.ndarray) -> tuple[float, float]:
 
 
 def prose_model(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of prose of ``docs(id, lang, text, held)``, and its coded texts ``(id, symbols, marks, held)``.
+    """The model of prose of ``docs(id, lang, text)``, and its coded texts ``(id, symbols, marks)``.
 
-    ``held`` documents only measure what is normal.
+    All texts are counted, and what is normal is measured on all of them.
     """
     spark = docs.sparkSession
     lexicon = function_words(docs.select("lang", F.col("text").alias("t")))
     m = len(lexicon.hashes) + SHAPES
-    coded = write_table(spread(docs.select("id", "text", "held")).mapInArrow(lambda it: _count(lexicon, it), _CODED), "coded", "zstd")
+    coded = write_table(spread(docs.select("id", "text")).mapInArrow(lambda it: _count(lexicon, it), _CODED), "coded", "zstd")
     near, far, tri = np.zeros(m * m), np.zeros(m * m), np.zeros(SHAPES**3)
     got = coded.where("kind is not null").groupBy("kind", "cell").agg(F.sum("n").alias("n")).toPandas()  # at most 2 * m ** 2 + SHAPES ** 3 cells
     for kind, n in enumerate((near, far, tri)):
@@ -435,16 +432,12 @@ def prose_model(docs: DataFrame) -> tuple[Model, DataFrame]:
     n = np.zeros((2, BINS), np.int64)
     words = coded.where("kind is null").select("id", "symbols", "marks")
     words.shared_path = coded.shared_path
-    for r in words.where(_held("id")).mapInArrow(lambda it: _measure(sent, it), "kind int, cell long, n long").groupBy("kind", "cell").agg(F.sum("n").alias("n")).collect():
+    for r in words.mapInArrow(lambda it: _measure(sent, it), "kind int, cell long, n long").groupBy("kind", "cell").agg(F.sum("n").alias("n")).collect():
         n[r.kind, r.cell] = r.n
     model.normal = _normal(n[0]), _normal(n[1])
     return model, words
 
 
-def _held(id_col: str):
-    return F.pmod(F.xxhash64(id_col), F.lit(HELD_OUT)) == 0
-
-
 def _scores(x: Coded, model: Model) -> np.ndarray:
     """Share of junk words of each text."""
     n = len(x.counts)
@@ -473,7 +466,7 @@ def junk_shares(docs: DataFrame, id_col: str, text_col: str, lang_col: str | Non
     """
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), lang.alias("lang"), F.col(text_col).cast("string").alias("text"))
-    fitted, words = prose_model(rows.withColumn("held", _held("id")))
+    fitted, words = prose_model(rows)
     model = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

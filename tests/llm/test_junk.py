@@ -97,3 +97,13 @@ def test_copies_and_empty_table(spark):
     got = J.junk_shares(df, "doc_id", "text").where("id in (1001, 5000)").collect()
     assert len(got) == 3 and len({round(r.share, 9) for r in got}) == 1
     assert J.junk_shares(df.limit(0), "doc_id", "text").isEmpty()
+
+
+def test_ids_choose_no_sample(spark):
+    """Every text counts, whatever its id."""
+
+    def shares_of(shift):
+        df = spark.createDataFrame([(k + shift, t) for k, t in corpus().items()], "doc_id long, text string")
+        return {r.id - shift: round(r.share, 9) for r in J.junk_shares(df, "doc_id", "text").collect()}
+
+    assert shares_of(0) == shares_of(10_000)
