@@ -48,11 +48,29 @@ def shingles(words: Column, width: int = 5) -> Column:
     return F.array_distinct(_once(words, lambda w: _runs(w, width)))
 
 
+def _bare(words: Column) -> Column:
+    """Words of two letters or more, elisions cut off."""
+    return F.filter(F.transform(words, lambda w: F.when(F.contains(w, F.lit("'")), F.regexp_replace(w, ELIDED, "")).otherwise(w)), lambda w: F.length(w) > 1)
+
+
+def _edge(word: Column) -> Column:
+    return (F.length(word) >= 4) & ~word.isin(STOP)
+
+
 def ngrams(words: Column, *widths: int) -> Column:
     """Phrases of ``widths`` words without elisions, whose first and last words have four letters and are no stop words."""
-    bare = F.filter(F.transform(words, lambda w: F.when(F.contains(w, F.lit("'")), F.regexp_replace(w, ELIDED, "")).otherwise(w)), lambda w: F.length(w) > 1)
-    edge = lambda w: (F.length(w) >= 4) & ~w.isin(STOP)
-    return _once(bare, lambda b: _once(F.transform(b, edge), lambda e: F.concat(*[_runs(b, n, e) for n in widths])))
+    return _once(_bare(words), lambda b: _once(F.transform(b, _edge), lambda e: F.concat(*[_runs(b, n, e) for n in widths])))
+
+
+def bigrams(words: Column, mark: str) -> Column:
+    """``ngrams`` of two words, joined by ``mark``; ``words`` have two letters or more.
+
+    Each word is looked at as seldom as can be: two neighbours that are no phrase are null, which no join shows.
+    """
+    edges = lambda w: F.transform(w, lambda x: F.when(_edge(x), x))
+    pairs = lambda e: F.array_join(F.zip_with(e, F.slice(e, 2, F.size(e)), lambda a, b: F.concat(a, F.lit(" "), b)), mark)
+    bare = lambda w: F.when(F.exists(w, lambda x: F.contains(x, F.lit("'"))), _bare(w)).otherwise(w)
+    return _once(words, lambda w: _once(edges(bare(w)), pairs))
 
 
 def stems(words: Column) -> Column:

@@ -325,8 +325,8 @@ def tok_shingles(t):
 
 @query()
 def tok_ngrams(t):
-    d = spread(t.markdown.where("body is not null").select("md_id", "body")).select("md_id", norm.words(F.col("body")).alias("w"))
-    return d.select("md_id", F.array_join(similarity.ngrams(F.col("w"), 2), "|").alias("phrases"))
+    d = spread(t.markdown.where("body is not null").select("md_id", "body"))
+    return d.select("md_id", similarity.bigrams(norm.words_once(F.col("body"), 2), "|").alias("phrases"))
 
 
 @query()

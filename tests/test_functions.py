@@ -102,6 +102,25 @@ def test_similarity(spark):
     assert one(spark, similarity.common_prefix, "L’Art", "l'arbre") == 4
 
 
+def test_words_in_one_pass_are_the_words(spark):
+    every = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    rows = [(" ".join(f"a{c}b {c}" for c in every[k : k + 512]),) for k in range(0, len(every), 512)]
+    rows += [("",), (" - ",), (None,), ("É",), ("x y l'été D’ÎLE e\u0301\u0302te",)]
+    df = spark.createDataFrame(rows, "t string").select(norm.words(F.col("t")).alias("w"), norm.words_once(F.col("t")).alias("o"), norm.words_once(F.col("t"), 2).alias("p"))
+    for w, o, p in df.collect():
+        assert o == w and p == (None if w is None else [x for x in w if len(x) > 1])
+
+
+def test_bigrams_are_phrases_of_two_words(spark):
+    rng, few = random.Random(5), ["le", "grace", "peut", "dans", "mot", "l'amour", "qu'a", "d'", "lorsqu'avec", "jour's", "'", "foi2"]
+    rows = [([],), (["grace"],), (["dans", "grace"],)] + [([rng.choice(few) for _ in range(rng.randrange(30))],) for _ in range(200)] + [([rng.choice(few[:5]) for _ in range(9)],) for _ in range(50)]
+    w = F.col("w")
+    df = spark.createDataFrame(rows, "w array<string>").select(F.filter(w, lambda x: F.length(x) > 1).alias("w")).select("w", F.array_join(similarity.ngrams(w, 2), "|").alias("want"), similarity.bigrams(w, "|").alias("got"))
+    got = df.collect()
+    assert [(r.w, r.got, r.want) for r in got if r.got != r.want] == [] and any("amour" in r.got for r in got)
+    assert one(spark, lambda c: similarity.bigrams(F.split(c, " "), "|"), None) is None
+
+
 def test_whole_texts_are_aligned(spark, tmp_path):
     """Everything of a text counts, however far from its start."""
     source = [f"mot{k}" for k in range(400)]

@@ -47,3 +47,8 @@ SAID = {"agg_doc_freq": {"[^a-zà-ÿ']+": 1, "lorsqu|puisqu": 1}, "tok_shingles"
 def test_words_are_made_once(spark, name):
     text = plan(spark, name)
     assert {x: text.count(x) for x in SAID[name]} == SAID[name]
+
+
+def test_phrases_fold_a_text_once(spark):
+    """A text that is said again inside an expression over its words is folded again."""
+    assert plan(spark, "tok_ngrams").count(r"\p{Mn}+") == 1
